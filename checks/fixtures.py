@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroll.functions.periods import period_key
-from tallyroll.schemas import AWAITING_REVIEW, COMPLETED, FAILED, HOURS, MONEY, PAYROLL_RUNS, STARTED, Params
+from tallyroll.schemas import AWAITING_REVIEW, COMPLETED, FAILED, HOURS, MONEY, STARTED, Params
 from tallyroll.sources.timesheets import normalise_raw
 
 EVENTS_RUN = 202401
@@ -66,7 +66,7 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "ts",
         F.when(event % 5 == 0, padded).otherwise(email).alias("email"),
-        F.when(event % 97 == 0, "not-a-date").otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("work_date"),
+        F.when(event % 97 == 0, "not-a-date").otherwise(text(F.col("ts").cast("date"))).alias("work_date"),
         F.when(event % 89 == 0, "not-a-number")
         .when(event % 83 == 0, "0.00")
         .otherwise(hours)
@@ -83,7 +83,14 @@ def event_timesheet(spark: SparkSession, sf_dir: str, run_id: Column | None = No
 
 def events_run(spark: SparkSession) -> DataFrame:
     """The one run of January 2024."""
-    return spark.createDataFrame([(EVENTS_RUN, 1, 2024, STARTED, AT, None)], PAYROLL_RUNS)
+    return spark.range(1).select(
+        F.lit(EVENTS_RUN).cast("bigint").alias("id"),
+        F.lit(1).alias("period_month"),
+        F.lit(2024).alias("period_year"),
+        F.lit(STARTED).alias("status"),
+        F.lit(AT).cast("timestamp_ntz").alias("started_at"),
+        F.lit(None).cast("timestamp_ntz").alias("completed_at"),
+    )
 
 
 # Line items and suppliers: many months, whole hours.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallyroll.schemas import HOURS
@@ -12,13 +12,15 @@ from tallyroll.schemas import HOURS
 BLANKS = "".join(chr(code) for code in range(0x21))
 NUMBER_SHAPE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 DATE_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-NEEDS_EXPONENT = r"[eE]|\.[0-9]{7}"
+CANONICAL_SHAPE = r"^(-?[1-9][0-9]*|0)(\.[0-9]{1,6})?$"
 MAX_HOURS = 24
 
 
 def clean_text(text: Column) -> Column:
-    """Trimmed text; a missing field is the empty string."""
-    return F.coalesce(F.btrim(text, F.lit(BLANKS)), F.lit(""))
+    """Trimmed text; a missing field is the empty string. Most fields have
+    nothing to trim, which their first and last characters tell cheaply."""
+    clean = (F.substring(text, 1, 1) > " ") & (F.substring(text, -1, 1) > " ")
+    return F.coalesce(F.when(clean, text).otherwise(F.btrim(text, F.lit(BLANKS))), F.lit(""))
 
 
 def _exponent(text: Column) -> Column:
@@ -36,89 +38,92 @@ def is_number(text: Column) -> Column:
     return text.rlike(NUMBER_SHAPE) & (no_exponent | _exponent(text).isNotNull())
 
 
-def hours_value(text: Column) -> Column:
-    """Parsed hours for comparison; null when not a number or beyond 20 digits."""
-    return text.try_cast("decimal(38,18)")
+def stored_hours(text: Column) -> Column:
+    """Hours as stored: two decimals, halves up. Null when the text is not a
+    number or its value does not fit the column."""
+    return text.try_cast(HOURS)
 
 
-def hours_in_range(text: Column, value: Column) -> Column:
-    """``0 < hours <= 24`` for text that passed :func:`is_number` and its
-    :func:`hours_value`.
+def hours_in_range(text: Column, stored: Column) -> Column:
+    """``0 < hours <= 24`` of the written value, null when it is no number.
 
-    Next to the two bounds the cast may have rounded, so there the digits of
-    the text decide.
+    The stored value decides unless it is one of the two bounds, which the
+    written value may have been rounded to; there the text is looked at. The
+    number syntax matters only where there is no stored value.
     """
     mantissa = _mantissa(text)
     digits = F.ltrim(F.replace(mantissa, F.lit("."), F.lit("")), F.lit("0"))
-    above = digits.startswith("24") & ~digits.rlike("^240*$")
+    value = text.try_cast("decimal(38,18)")
+    # The cast of the value may round to 24 as well; its digits do not.
+    above = (value > MAX_HOURS) | (
+        (value == MAX_HOURS) & digits.startswith("24") & ~digits.rlike("^240*$")
+    )
     return (
-        F.when((value > 0) & (value < MAX_HOURS), F.lit(True))
-        .when(value == 0, ~text.startswith("-") & mantissa.rlike("[1-9]"))
-        .when(value == MAX_HOURS, ~above)
-        .otherwise(F.lit(False))
+        F.when((stored > 0) & (stored < MAX_HOURS), F.lit(True))
+        .when(stored == 0, ~text.startswith("-") & mantissa.rlike("[1-9]"))
+        .when(stored == MAX_HOURS, ~above)
+        .when(stored.isNotNull(), F.lit(False))
+        .when(is_number(text), F.lit(False))
     )
 
 
-def stored_hours(text: Column) -> Column:
-    """Hours as stored: two decimals, halves up; null if not storable."""
-    return text.try_cast(HOURS)
-
+def _bind(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-def plain_decimal_text(text: Column) -> Column:
-    """Canonical text of a number without exponent: no plus sign, no leading
-    zeros, a digit before the point, none missing after it, no negative zero."""
-    unsigned = F.regexp_replace(text, r"^\+", "")
-    stripped = F.regexp_replace(unsigned, r"^(-?)0+(?=[0-9])", "$1")
-    led = F.regexp_replace(stripped, r"^(-?)(?=\.)", "$10")
-    closed = F.regexp_replace(led, r"\.$", "")
-    return F.regexp_replace(closed, r"^-(?=0(\.0*)?$)", "")
 
+def decimal_text(text: Column) -> Column:
+    """Canonical text of a decimal number: no plus sign, no leading zeros, the
+    written scale kept, and an exponent only where the scale is negative or
+    the leading digit lies more than six places behind the point.
 
-def with_decimal_text(rows: DataFrame, source: str, target: str) -> DataFrame:
-    """Add the canonical text of a decimal number: the written scale is kept,
-    and an exponent shows only where the scale is negative or the leading
-    digit lies more than six places behind the point.
-
-    Such numbers are rare. Their parts are columns of their own, null for all
-    other rows, so the usual row costs one pattern match.
+    Nearly every number is written that way already, which one pattern tells.
+    The others are taken apart with bound values: that keeps the generated
+    code of a query small enough for the JVM to compile.
     """
-    odd = F.col("_odd")
-    size, scale, digits = F.col("_size"), F.col("_scale"), F.col("_digits")
-    parts = (
-        rows.withColumn("_odd", F.when(F.col(source).rlike(NEEDS_EXPONENT), F.col(source)))
-        .withColumns({"_mantissa": _mantissa(odd), "_exponent": _exponent(odd)})
-        .withColumn("_point", F.instr("_mantissa", "."))
-        .withColumn("_all", F.replace("_mantissa", F.lit("."), F.lit("")))
-        .withColumn("_zeros_off", F.ltrim("_all", F.lit("0")))
-        .withColumns(
-            {
-                "_scale": F.when(F.col("_point") > 0, F.length("_mantissa") - F.col("_point")).otherwise(0)
-                - F.col("_exponent"),
-                "_digits": F.when(F.col("_zeros_off") == "", "0").otherwise(F.col("_zeros_off")),
-            }
+    return F.when(text.rlike(CANONICAL_SHAPE), text).otherwise(
+        _bind(
+            F.struct(
+                _mantissa(text).alias("mantissa"),
+                _exponent(text).alias("exponent"),
+                text.startswith("-").alias("negative"),
+            ),
+            _from_parts,
         )
-        .withColumn("_size", F.length("_digits"))
-        .withColumn("_power", size - 1 - scale)
-        .withColumn("_padded", F.lpad("_digits", F.greatest(size, scale + 1), "0"))
-    )
-    padded, power = F.col("_padded"), F.col("_power")
-    whole = F.length(padded) - scale
-    decimal = F.when(scale == 0, padded).otherwise(
-        F.concat(F.substring(padded, F.lit(1), whole), F.lit("."), F.substring(padded, whole + 1, scale))
     )
-    leading = F.when(size == 1, digits).otherwise(
-        F.concat(F.substring(digits, 1, 1), F.lit("."), F.substring(digits, F.lit(2), size - 1))
+
+
+def _from_parts(parts: Column) -> Column:
+    mantissa = parts["mantissa"]
+    places = F.when(mantissa.contains("."), F.length(F.substring_index(mantissa, ".", -1))).otherwise(0)
+    digits = F.ltrim(F.replace(mantissa, F.lit("."), F.lit("")), F.lit("0"))
+    bound = F.struct(
+        F.when(digits == "", "0").otherwise(digits).alias("digits"),
+        (places - parts["exponent"]).alias("scale"),
+        F.when(parts["negative"] & (digits != ""), "-").otherwise("").alias("sign"),
     )
-    mark = F.when(power == 0, "").when(power > 0, "E+").otherwise("E")
-    scientific = F.concat(leading, mark, F.when(power == 0, "").otherwise(power.cast("string")))
-    sign = F.when(odd.startswith("-") & (F.col("_zeros_off") != ""), "-").otherwise("")
-    number = F.concat(sign, F.when((scale >= 0) & (power >= -6), decimal).otherwise(scientific))
-    return parts.withColumn(
-        target, F.when(odd.isNull(), plain_decimal_text(F.col(source))).otherwise(number)
-    ).drop(
-        "_odd", "_mantissa", "_exponent", "_point", "_all", "_zeros_off",
-        "_scale", "_digits", "_size", "_power", "_padded",
+    return _bind(bound, lambda n: F.concat(n["sign"], _unsigned(n["digits"], n["scale"])))
+
+
+def _unsigned(digits: Column, scale: Column) -> Column:
+    size = F.length(digits)
+    power = size - 1 - scale
+
+    def pointed(padded: Column) -> Column:
+        whole = F.length(padded) - scale
+        fraction = F.concat(F.lit("."), F.substring(padded, whole + 1, scale))
+        return F.concat(F.substring(padded, F.lit(1), whole), F.when(scale > 0, fraction).otherwise(""))
+
+    rest = F.concat(F.lit("."), F.substring(digits, F.lit(2), size - 1))
+    exponent = F.concat(F.when(power > 0, "E+").otherwise("E"), power.cast("string"))
+    scientific = F.concat(
+        F.substring(digits, 1, 1),
+        F.when(size > 1, rest).otherwise(""),
+        F.when(power != 0, exponent).otherwise(""),
     )
+    return F.when(
+        (scale >= 0) & (power >= -6), _bind(F.lpad(digits, F.greatest(size, scale + 1), "0"), pointed)
+    ).otherwise(scientific)
 
 
 def work_date_value(text: Column) -> Column:

@@ -6,12 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.functions.fields import (
+    decimal_text,
     hours_in_range,
-    hours_value,
-    is_number,
     stored_hours,
     truncated,
-    with_decimal_text,
     work_date_value,
 )
 from tallyroll.schemas import RAW_LINE_LENGTH, REASON_LENGTH, REJECTED_ENTRIES
@@ -36,20 +34,11 @@ class SkipLimitExceededError(ValueError):
 
 
 def parse_rows(raw: DataFrame) -> DataFrame:
-    """Normalised rows plus what their text means, each field parsed once:
-    ``hours_ok`` (null unless a number), ``hours`` and ``day``."""
+    """Normalised rows plus what their text means: ``hours_ok`` (null unless
+    a number), ``hours`` as stored and ``day``."""
     hours = F.col("hours_worked")
-    return (
-        raw.withColumn("hours_value", hours_value(hours))
-        .withColumns(
-            {
-                "hours_ok": F.when(is_number(hours), hours_in_range(hours, F.col("hours_value"))),
-                "hours": stored_hours(hours),
-                "day": work_date_value(F.col("work_date")),
-            }
-        )
-        .drop("hours_value")
-    )
+    parsed = raw.withColumns({"hours": stored_hours(hours), "day": work_date_value(F.col("work_date"))})
+    return parsed.withColumn("hours_ok", hours_in_range(hours, F.col("hours")))
 
 
 def resolve_employee(raw: DataFrame, employees: DataFrame) -> DataFrame:
@@ -86,18 +75,14 @@ def classify(raw: DataFrame, employees: DataFrame) -> DataFrame:
         .when(F.col("employee_id").isNull(), UNKNOWN_EMAIL)
         .otherwise(OK)
     )
-    judged = resolved.withColumn("outcome", outcome).withColumn(
-        "_excess", F.when(F.col("outcome") == OUT_OF_RANGE, F.col("hours_worked"))
-    )
-    told = with_decimal_text(judged, "_excess", "_excess_text")
-    return told.withColumn("reason", _reason(F.col("outcome"))).drop("_excess", "_excess_text")
+    return resolved.withColumn("outcome", outcome).withColumn("reason", _reason(F.col("outcome")))
 
 
 def _reason(outcome: Column) -> Column:
     return (
         F.when(outcome == MALFORMED, F.lit(MALFORMED_REASON))
         .when(outcome == NOT_A_NUMBER, F.concat(F.lit(NOT_A_NUMBER_TEXT), "hours_worked"))
-        .when(outcome == OUT_OF_RANGE, F.concat(F.lit(OUT_OF_RANGE_TEXT), "_excess_text"))
+        .when(outcome == OUT_OF_RANGE, F.concat(F.lit(OUT_OF_RANGE_TEXT), decimal_text(F.col("hours_worked"))))
         .when(outcome == BAD_DATE, F.concat(F.lit(BAD_DATE_TEXT), "work_date"))
         .when(outcome == UNKNOWN_EMAIL, F.concat(F.lit(UNKNOWN_EMAIL_TEXT), "email"))
     )
@@ -111,8 +96,22 @@ def accepted_entries(classified: DataFrame) -> DataFrame:
 
 
 def valid_rows(raw: DataFrame) -> DataFrame:
-    """Typed rows that pass every check but the email lookup."""
-    return _as_entries(parse_rows(raw).filter(F.col("hours_ok") & F.col("day").isNotNull()))
+    """Typed rows that pass every check but the email lookup.
+
+    The generator emits the typed values of a valid row and nothing for
+    another one. A filter on them would be pushed down to the text and parse
+    every field once more for each time it is mentioned.
+    """
+    parsed = parse_rows(raw)
+    typed = F.struct(
+        F.col("day").alias("work_date"),
+        F.col("hours").alias("hours_worked"),
+        F.year("day").alias("work_year"),
+        F.month("day").alias("work_month"),
+    )
+    valid = F.col("hours_ok") & F.col("day").isNotNull()
+    kept = [name for name in raw.columns if name not in ("work_date", "hours_worked")]
+    return parsed.select(*kept, F.inline(F.when(valid, F.array(typed))))
 
 
 def import_accepted(raw: DataFrame, employees: DataFrame) -> DataFrame:

@@ -64,9 +64,19 @@ def test_hours_in_range_is_exact_at_the_bounds(spark):
         "-0": False,
         "0e5": False,
         "000024.0": True,
+        "24.004": False,
+        "23.996": True,
+        "-0.004": False,
+        "99.99": False,
+        "100": False,
+        "-100": False,
+        "1e39": False,
+        "abc": None,
+        "": None,
+        "1e99999999999": None,
     }
     got = evaluate(
-        spark, list(cases), lambda c: fields.hours_in_range(c, fields.hours_value(c))
+        spark, list(cases), lambda c: fields.hours_in_range(c, fields.stored_hours(c))
     )
     assert dict(zip(cases, got)) == cases
 
@@ -77,11 +87,6 @@ def test_stored_hours_round_half_up(spark):
     assert got == ["8.01", "0.00", "0.01", "7.99", "24.00", "10.00"]
 
 
-def decimal_texts(spark, values):
-    df = spark.createDataFrame(list(enumerate(values)), "i int, c string")
-    return [r.out for r in fields.with_decimal_text(df, "c", "out").orderBy("i").collect()]
-
-
 def test_decimal_text_is_canonical(spark):
     cases = {
         "0.00": "0.00",
@@ -106,7 +111,7 @@ def test_decimal_text_is_canonical(spark):
         "-0.000001": "-0.000001",
         "1e400": "1E+400",
     }
-    assert dict(zip(cases, decimal_texts(spark, list(cases)))) == cases
+    assert dict(zip(cases, evaluate(spark, list(cases), fields.decimal_text))) == cases
 
 
 def test_decimal_text_matches_the_decimal_module(spark):
@@ -121,7 +126,7 @@ def test_decimal_text_matches_the_decimal_module(spark):
     ]
     # str(Decimal) follows the same rule, but for the sign of zero.
     expected = [str(abs(d)) if d == 0 else str(d) for d in map(Decimal, values)]
-    assert decimal_texts(spark, values) == expected
+    assert evaluate(spark, values, fields.decimal_text) == expected
 
 
 def test_work_date_is_strict(spark):
