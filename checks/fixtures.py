@@ -81,12 +81,27 @@ def event_timesheet(spark: SparkSession, sf_dir: str, run_id: Column | None = No
     return rows.select("payroll_run_id", "email", "work_date", "hours_worked")
 
 
-def events_run(spark: SparkSession) -> DataFrame:
-    """The one run of January 2024."""
-    return spark.range(1).select(
-        F.lit(EVENTS_RUN).cast("bigint").alias("id"),
-        F.lit(1).alias("period_month"),
-        F.lit(2024).alias("period_year"),
+def event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run for each month with events."""
+    months = _months(table(spark, sf_dir, "events"), "ts")
+    return _started(months, F.array(_month_id()))
+
+
+def _months(rows: DataFrame, day: str) -> DataFrame:
+    return rows.select(
+        F.year(day).alias("period_year"), F.month(day).alias("period_month")
+    ).distinct()
+
+
+def _month_id() -> Column:
+    return (F.col("period_year") * 100 + F.col("period_month")).cast("bigint")
+
+
+def _started(months: DataFrame, ids: Column) -> DataFrame:
+    return months.select(
+        F.explode(ids).alias("id"),
+        "period_month",
+        "period_year",
         F.lit(STARTED).alias("status"),
         F.lit(AT).cast("timestamp_ntz").alias("started_at"),
         F.lit(None).cast("timestamp_ntz").alias("completed_at"),
@@ -127,22 +142,9 @@ def lineitem_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def monthly_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run for each month with orders, and a second one from 2000 on."""
-    day = F.col("o_orderdate")
-    months = (
-        table(spark, sf_dir, "orders")
-        .select(F.year(day).alias("period_year"), F.month(day).alias("period_month"))
-        .distinct()
-    )
-    first = (F.col("period_year") * 100 + F.col("period_month")).cast("bigint")
+    first = _month_id()
     ids = F.when(F.col("period_year") >= 2000, F.array(first, first + 1000000)).otherwise(F.array(first))
-    return months.select(
-        F.explode(ids).alias("id"),
-        "period_month",
-        "period_year",
-        F.lit(STARTED).alias("status"),
-        F.lit(AT).cast("timestamp_ntz").alias("started_at"),
-        F.lit(None).cast("timestamp_ntz").alias("completed_at"),
-    )
+    return _started(_months(table(spark, sf_dir, "orders"), "o_orderdate"), ids)
 
 
 # Orders as run history, events as logs.

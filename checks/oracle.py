@@ -61,12 +61,16 @@ event_entries AS (
   FROM classified WHERE outcome = 'ok')"""
 
 EVENT_HOURS = """
+event_runs AS (
+  SELECT DISTINCT extract(year FROM ts) AS period_year, extract(month FROM ts) AS period_month
+  FROM events),
 event_hours AS (
-  SELECT CAST(202401 AS BIGINT) AS payroll_run_id, t.employee_id, e.hourly_rate,
+  SELECT r.period_year * 100 + r.period_month AS payroll_run_id, t.employee_id, e.hourly_rate,
     CAST(sum(t.hours_worked) AS DECIMAL(14,2)) AS total_hours
-  FROM event_entries t JOIN customer_employees e ON e.id = t.employee_id
-  WHERE extract(year FROM t.work_date) = 2024 AND extract(month FROM t.work_date) = 1
-  GROUP BY t.employee_id, e.hourly_rate)"""
+  FROM event_runs r, event_entries t JOIN customer_employees e ON e.id = t.employee_id
+  WHERE extract(year FROM t.work_date) = r.period_year
+    AND extract(month FROM t.work_date) = r.period_month
+  GROUP BY r.period_year, r.period_month, t.employee_id, e.hourly_rate)"""
 
 SUPPLIER_EMPLOYEES = """
 supplier_employees AS (

@@ -225,7 +225,7 @@ def _lineitem_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _event_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = imports.valid_rows(fx.event_timesheet(spark, sf_dir))
-    return hours_ops.hours_by_email(rows, fx.customer_employees(spark, sf_dir), fx.events_run(spark))
+    return hours_ops.hours_by_email(rows, fx.customer_employees(spark, sf_dir), fx.event_runs(spark, sf_dir))
 
 
 @query

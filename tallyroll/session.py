@@ -13,6 +13,8 @@ SETTINGS = {
     # Splits an oversized join partition, e.g. one email holding a third of the rows.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Recording the call site of every column expression makes queries slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
