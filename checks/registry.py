@@ -289,30 +289,26 @@ def payroll_summary(spark, sf_dir):
 # Review.
 
 
-def _lineitem_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags = review.review_flags(
-        fx.monthly_runs(spark, sf_dir), _lineitem_hours(spark, sf_dir), LIMITS.anomaly_threshold_hours
-    )
-    return review.route(flags)
+def _flags(runs: DataFrame, hours: DataFrame) -> DataFrame:
+    return review.review_flags(runs, hours, LIMITS.anomaly_threshold_hours)
 
 
 @query
 def review_flags(spark, sf_dir):
-    return review.review_flags(
-        fx.monthly_runs(spark, sf_dir), _lineitem_hours(spark, sf_dir), LIMITS.anomaly_threshold_hours
-    )
+    return _flags(fx.monthly_runs(spark, sf_dir), _lineitem_hours(spark, sf_dir))
 
 
 @query
 def route_runs(spark, sf_dir):
-    return _lineitem_routes(spark, sf_dir).select("payroll_run_id", "route")
+    flags = _flags(fx.monthly_runs(spark, sf_dir), _lineitem_hours(spark, sf_dir))
+    return review.route(flags).select("payroll_run_id", "route")
 
 
 def _runs_routed(spark: SparkSession, sf_dir: str, way: str) -> DataFrame:
-    chosen = review.runs_on(_lineitem_routes(spark, sf_dir), way)
-    return fx.monthly_runs(spark, sf_dir).join(
-        chosen.withColumnRenamed("payroll_run_id", "id"), "id", "left_semi"
-    )
+    runs = fx.monthly_runs(spark, sf_dir)
+    routes = review.route(_flags(runs, _lineitem_hours(spark, sf_dir)))
+    chosen = review.runs_on(routes, way).withColumnRenamed("payroll_run_id", "id")
+    return runs.join(chosen, "id", "left_semi")
 
 
 @query
@@ -335,8 +331,9 @@ def completed_runs(spark, sf_dir):
 
 @query
 def payslips_released(spark, sf_dir):
-    released = review.release(_lineitem_hours(spark, sf_dir), _lineitem_routes(spark, sf_dir))
-    return payslip_ops.payslips(released, LIMITS)
+    hours = _lineitem_hours(spark, sf_dir)
+    routes = review.route(_flags(fx.monthly_runs(spark, sf_dir), hours))
+    return payslip_ops.payslips(review.release(hours, routes), LIMITS)
 
 
 # Runs.
@@ -447,7 +444,7 @@ def id_ranges(spark, sf_dir):
 def range_metrics(spark, sf_dir):
     employees = fx.supplier_employees(spark, sf_dir)
     hours = ranges.assign_range(_lineitem_hours(spark, sf_dir), employees, GRID)
-    slips = ranges.assign_range(_lineitem_payslips(spark, sf_dir), employees, GRID)
+    slips = ranges.assign_range(payslip_ops.payslips(hours, LIMITS), employees, GRID)
     counted = metrics.range_metrics(ranges.id_ranges(employees, GRID), hours, slips)
     return counted.select(_bigint("range_id"), "min_id", "max_id", "items_read", "items_written")
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyroll.functions.periods import period_key
 from tallyroll.schemas import AWAITING_REVIEW, COMPLETED, PAYROLL_RUNS, RUN_STATES, STARTED, STATUSES
+from tallyroll.sources.storage import stage, working_folder
 
 # Order of the status changes one job makes at one time.
 CREATE, HOLD, RESUME, COMPLETE = 0, 1, 2, 3
@@ -134,16 +135,58 @@ def resumed_states(outcomes: DataFrame, at: datetime) -> DataFrame:
 
 
 def run_history_page(
-    runs: DataFrame, page: int = 0, size: int = 20, sort: str = "started_at", descending: bool = True
+    runs: DataFrame,
+    page: int = 0,
+    size: int = 20,
+    sort: str = "started_at",
+    descending: bool = True,
+    top_rows: int = 10_000,
 ) -> DataFrame:
     """One page of the run history, newest first by default; equal values are
-    ordered by id. A page past the end is empty."""
+    ordered by id. A page past the end is empty.
+
+    Spark finds a page among the first ``top_rows`` without sorting the rest.
+    A later one would make a single task hold all rows before it, so there
+    the rows are sorted once, in parallel, and picked by their number.
+    """
     if page < 0 or size < 1:
         raise ValueError("page must be at least 0 and size at least 1")
     if sort not in SORTABLE:
         raise ValueError(f"cannot sort by {sort!r}, expected one of {SORTABLE}")
-    order = F.col(sort).desc() if descending else F.col(sort).asc()
-    return runs.orderBy(order, F.col("id")).offset(page * size).limit(size)
+    order = [F.col(sort).desc() if descending else F.col(sort).asc(), F.col("id")]
+    first = page * size
+    if first + size <= top_rows:
+        return runs.orderBy(*order).offset(first).limit(size)
+    numbered = _numbered(runs.orderBy(*order))
+    wanted = F.col("_number").between(first, first + size - 1)
+    return numbered.filter(wanted).drop("_number").orderBy(*order)
+
+
+def _numbered(ordered: DataFrame) -> DataFrame:
+    """Add ``_number``, the place of each row in the order, from 0.
+
+    The generated id holds the number of the partition above its 33 low bits
+    and the place within the partition in them. The sorted rows are staged, so
+    that both uses of them see the same partitions.
+    """
+    spark = ordered.sparkSession
+    placed = ordered.withColumn("_place", F.monotonically_increasing_id())
+    staged = stage(placed, working_folder(spark, "history")).withColumn(
+        "_part", F.shiftright("_place", 33)
+    )
+    # One row per partition, so the window and the broadcast are small.
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        staged.groupBy("_part")
+        .agg(F.count("*").alias("rows"))
+        .select("_part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("_start"))
+    )
+    number = F.col("_start") + F.col("_place").bitwiseAND((1 << 33) - 1)
+    return (
+        staged.join(F.broadcast(starts), "_part")
+        .withColumn("_number", number)
+        .drop("_part", "_place", "_start")
+    )
 
 
 def page_totals(rows: DataFrame, size: int) -> DataFrame:
