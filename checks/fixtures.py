@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyroll.functions.periods import period_key
 from tallyroll.schemas import AWAITING_REVIEW, COMPLETED, FAILED, HOURS, MONEY, STARTED, Params
+from tallyroll.sources.storage import stage, working_folder
 from tallyroll.sources.timesheets import normalise_raw
 
 EVENTS_RUN = 202401
@@ -83,8 +84,7 @@ def event_timesheet(spark: SparkSession, sf_dir: str, run_id: Column | None = No
 
 def event_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run for each month with events."""
-    months = _months(table(spark, sf_dir, "events"), "ts")
-    return _started(months, F.array(_month_id()))
+    return _started(_months(table(spark, sf_dir, "events"), "ts"), F.array(_month_id()))
 
 
 def _months(rows: DataFrame, day: str) -> DataFrame:
@@ -98,7 +98,9 @@ def _month_id() -> Column:
 
 
 def _started(months: DataFrame, ids: Column) -> DataFrame:
-    return months.select(
+    """Started runs, stored like the run table they stand for: its size is
+    known when a query is planned, so no large side is shuffled for it."""
+    runs = months.select(
         F.explode(ids).alias("id"),
         "period_month",
         "period_year",
@@ -106,6 +108,7 @@ def _started(months: DataFrame, ids: Column) -> DataFrame:
         F.lit(AT).cast("timestamp_ntz").alias("started_at"),
         F.lit(None).cast("timestamp_ntz").alias("completed_at"),
     )
+    return stage(runs.coalesce(1), working_folder(months.sparkSession, "runs"))
 
 
 # Line items and suppliers: many months, whole hours.

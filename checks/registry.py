@@ -215,11 +215,11 @@ def entries_for_runs(spark, sf_dir):
     )
 
 
-def _lineitem_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lineitem_hours(spark: SparkSession, sf_dir: str, runs: DataFrame | None = None) -> DataFrame:
     return hours_ops.hours_by_employee(
         fx.lineitem_entries(spark, sf_dir),
         fx.supplier_employees(spark, sf_dir),
-        fx.monthly_runs(spark, sf_dir),
+        fx.monthly_runs(spark, sf_dir) if runs is None else runs,
     )
 
 
@@ -295,18 +295,20 @@ def _flags(runs: DataFrame, hours: DataFrame) -> DataFrame:
 
 @query
 def review_flags(spark, sf_dir):
-    return _flags(fx.monthly_runs(spark, sf_dir), _lineitem_hours(spark, sf_dir))
+    runs = fx.monthly_runs(spark, sf_dir)
+    return _flags(runs, _lineitem_hours(spark, sf_dir, runs))
 
 
 @query
 def route_runs(spark, sf_dir):
-    flags = _flags(fx.monthly_runs(spark, sf_dir), _lineitem_hours(spark, sf_dir))
+    runs = fx.monthly_runs(spark, sf_dir)
+    flags = _flags(runs, _lineitem_hours(spark, sf_dir, runs))
     return review.route(flags).select("payroll_run_id", "route")
 
 
 def _runs_routed(spark: SparkSession, sf_dir: str, way: str) -> DataFrame:
     runs = fx.monthly_runs(spark, sf_dir)
-    routes = review.route(_flags(runs, _lineitem_hours(spark, sf_dir)))
+    routes = review.route(_flags(runs, _lineitem_hours(spark, sf_dir, runs)))
     chosen = review.runs_on(routes, way).withColumnRenamed("payroll_run_id", "id")
     return runs.join(chosen, "id", "left_semi")
 
@@ -331,8 +333,9 @@ def completed_runs(spark, sf_dir):
 
 @query
 def payslips_released(spark, sf_dir):
-    hours = _lineitem_hours(spark, sf_dir)
-    routes = review.route(_flags(fx.monthly_runs(spark, sf_dir), hours))
+    runs = fx.monthly_runs(spark, sf_dir)
+    hours = _lineitem_hours(spark, sf_dir, runs)
+    routes = review.route(_flags(runs, hours))
     return payslip_ops.payslips(review.release(hours, routes), LIMITS)
 
 
@@ -496,8 +499,9 @@ def payslips_rerun(spark, sf_dir):
 @query
 def summary_roundtrip(spark, sf_dir):
     folder = working_folder(spark, "export")
-    slips = stage(payslip_ops.as_stored(_lineitem_payslips(spark, sf_dir)), f"{folder}/payslips")
-    runs = stage(fx.monthly_runs(spark, sf_dir), f"{folder}/runs")
+    runs = fx.monthly_runs(spark, sf_dir)
+    calculated = payslip_ops.payslips(_lineitem_hours(spark, sf_dir, runs), LIMITS)
+    slips = stage(payslip_ops.as_stored(calculated), f"{folder}/payslips")
     employees = fx.supplier_employees(spark, sf_dir)
     files = sinks.export_summary(
         spark, slips, employees, runs, f"{folder}/summaries", Params().rows_per_summary_file

@@ -31,7 +31,12 @@ def run_periods(runs: DataFrame) -> DataFrame:
 
 def entries_for_runs(runs: DataFrame, entries: DataFrame) -> DataFrame:
     """Every run with each entry of its month; two runs of one month both get
-    all of its entries."""
+    all of its entries.
+
+    ``runs`` should be a stored table, as everywhere here: Spark then knows
+    how small it is and broadcasts it, where an unknown size would make it
+    shuffle the entries by month.
+    """
     keys = runs.select(
         F.col("id").alias("payroll_run_id"),
         F.col("period_year").alias("work_year"),

@@ -9,7 +9,7 @@ from tallyroll.functions.periods import period_key
 from tallyroll.operators.payslips import as_stored, with_employee_columns
 from tallyroll.operators.ranges import slice_of_id
 from tallyroll.schemas import REJECTED_ENTRIES, RUN_STATES, SUMMARY_COLUMNS, TABLES
-from tallyroll.sources.storage import list_names, replace_path, working_folder, write_text
+from tallyroll.sources.storage import list_names, replace_path, stage, working_folder, write_text
 from tallyroll.sources.tables import table_path
 
 
@@ -76,15 +76,21 @@ def export_summary(
         )
     )
     chosen = payslips.join(exported, "payroll_run_id")
-    sizes = chosen.groupBy("payroll_run_id").agg(
-        F.min("employee_id").alias("low"),
-        F.max("employee_id").alias("high"),
-        F.call_function("div", F.count("*") + (rows_per_file - 1), F.lit(rows_per_file)).alias("slices"),
+    staging = working_folder(spark, "summary")
+    # One row per run. Staged, its size is known, so that joining it does not
+    # shuffle the payslips by run.
+    layout = stage(
+        chosen.groupBy("payroll_run_id").agg(
+            F.min("employee_id").alias("low"),
+            F.max("employee_id").alias("high"),
+            F.call_function("div", F.count("*") + (rows_per_file - 1), F.lit(rows_per_file)).alias("slices"),
+        ),
+        f"{staging}/layout",
     )
-    placed = with_employee_columns(chosen.join(sizes, "payroll_run_id"), employees).withColumn(
+    placed = with_employee_columns(chosen.join(layout, "payroll_run_id"), employees).withColumn(
         "slice", slice_of_id(F.col("employee_id"), F.col("low"), F.col("high"), F.col("slices"))
     )
-    staging = working_folder(spark, "summary")
+    files = f"{staging}/files"
     (
         placed.select("period", "slice", *SUMMARY_COLUMNS)
         .repartition("period", "slice")
@@ -92,9 +98,9 @@ def export_summary(
         .write.mode("overwrite")
         .partitionBy("period", "slice")
         .option("header", True)
-        .csv(staging)
+        .csv(files)
     )
-    return _promote(spark, exported, staging, folder)
+    return _promote(spark, exported, files, folder)
 
 
 def _promote(spark: SparkSession, exported: DataFrame, staging: str, folder: str) -> list[str]:

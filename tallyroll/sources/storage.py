@@ -43,7 +43,8 @@ def replace_path(spark: SparkSession, source: str, target: str) -> None:
     """Move a file or folder over ``target``, replacing what is there."""
     source_path, target_path = _path(spark, source), _path(spark, target)
     filesystem = _filesystem(spark, target_path)
-    filesystem.mkdirs(target_path.getParent())
+    if not filesystem.exists(target_path.getParent()):
+        filesystem.mkdirs(target_path.getParent())
     if filesystem.exists(target_path):
         filesystem.delete(target_path, True)
     if not filesystem.rename(source_path, target_path):
