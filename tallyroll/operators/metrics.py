@@ -41,8 +41,7 @@ def range_metrics(ranges: DataFrame, hours: DataFrame, payslips: DataFrame) -> D
 def elapsed(step_log: DataFrame) -> DataFrame:
     """Milliseconds from the first start to the last end of the steps of each
     execution, 0 when either is unknown."""
-    micros = F.unix_micros(_utc("last")) - F.unix_micros(_utc("first"))
-    millis = F.call_function("div", micros, F.lit(1000))
+    millis = F.call_function("div", _micros("last") - _micros("first"), F.lit(1000))
     return (
         step_log.groupBy("execution_id")
         .agg(F.min("started_at").alias("first"), F.max("ended_at").alias("last"))
@@ -50,8 +49,13 @@ def elapsed(step_log: DataFrame) -> DataFrame:
     )
 
 
-def _utc(name: str) -> Column:
-    return F.col(name).cast("timestamp")
+def _micros(name: str) -> Column:
+    """Microseconds of a time without zone, which no session zone shifts."""
+    time = F.col(name)
+    days = F.unix_date(time.cast("date")).cast("bigint")
+    minutes = (days * 24 + F.hour(time)) * 60 + F.minute(time)
+    seconds = F.extract(F.lit("SECOND"), time)
+    return minutes * 60_000_000 + (seconds * 1_000_000).cast("bigint")
 
 
 def speedup(sequential_ms: Column, parallel_ms: Column) -> Column:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from tallyroll.functions import pay
 from tallyroll.schemas import (
@@ -40,12 +41,16 @@ def payslips(hours: DataFrame, params: Params = Params(), generated_at: datetime
 def as_stored(slips: DataFrame) -> DataFrame:
     """Payslips in the types of the payslip table. An amount that does not
     fit them raises, as the table would refuse it."""
-    return slips.withColumns(
-        {
-            "total_hours": F.col("total_hours").cast(TOTAL_HOURS),
-            **{name: F.col(name).cast(MONEY) for name in ("gross_pay", "deductions", "net_pay")},
-        }
-    )
+    types = {"total_hours": TOTAL_HOURS, "gross_pay": MONEY, "deductions": MONEY, "net_pay": MONEY}
+    return slips.withColumns({name: _fitting(name, kind) for name, kind in types.items()})
+
+
+def _fitting(name: str, kind: DecimalType) -> Column:
+    """The cast of a column, with an error of its own whatever the session
+    does about overflow."""
+    value, cast = F.col(name), F.col(name).try_cast(kind)
+    message = F.concat(F.lit(f"{name} "), value.cast("string"), F.lit(f" does not fit {kind.simpleString()}"))
+    return F.when(cast.isNotNull() | value.isNull(), cast).otherwise(F.raise_error(message).cast(kind))
 
 
 def for_run(rows: DataFrame, run_id: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,8 +30,8 @@ def validate_run_requests(requests: DataFrame) -> DataFrame:
 
 
 def _seq(at: datetime, change: int) -> Column:
-    micros = F.unix_micros(F.lit(at).cast("timestamp_ntz").cast("timestamp"))
-    return micros * 4 + change
+    micros = (at - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+    return F.lit(micros * 4 + change).cast("bigint")
 
 
 def create_runs(requests: DataFrame, at: datetime) -> DataFrame:

@@ -70,8 +70,10 @@ def import_timesheets(
     sub_cent = imports.sub_cent_entries(entries).head(1)
     if sub_cent:
         raise ValueError(f"hours of employee {sub_cent[0].employee_id} round to 0.00")
-    sinks.write_entries(with_lineage(entries, at), root)
+    # Entries come last: a failure before them may leave rejects twice after a
+    # repeated import, but never hours.
     sinks.write_rejected(rejected, root)
+    sinks.write_entries(with_lineage(entries, at), root)
     return metrics.import_metrics(staged)
 
 
@@ -89,7 +91,8 @@ def run_monthly(
     it for review or pay, export and complete it.
 
     The file is imported once for all runs; its rejects belong to
-    ``import_run_id``. Returns the routed runs.
+    ``import_run_id``. After a failure past the import, repeat the job without
+    ``csv_path``, or the hours count twice. Returns the routed runs.
     """
     runs = _requested(spark, root, requests)
     _require_launchable(spark, root, requests, runs, run_ops.MONTHLY_JOB)

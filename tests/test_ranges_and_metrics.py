@@ -66,6 +66,14 @@ def test_elapsed_and_speedup(spark):
     assert {r.execution_id: r.elapsed_ms for r in metrics.elapsed(log).collect()} == {
         1: 25088, 2: 0, 3: 0, 4: 3000,
     }
+    # The clock change of a session zone is no elapsed time.
+    spring = [(1, datetime(2026, 3, 29, 1, 30), datetime(2026, 3, 29, 3, 30, 0, 123456))]
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        spring_log = spark.createDataFrame(spring, log.schema)
+        assert metrics.elapsed(spring_log).first().elapsed_ms == 7_200_123
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     pairs = spark.createDataFrame([(25088, 8651), (5, 0)], "s bigint, p bigint")
     got = pairs.select(metrics.speedup(F.col("s"), F.col("p")).alias("x")).collect()
     assert [round(r.x, 2) for r in got] == [2.9, 0.0]

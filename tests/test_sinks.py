@@ -4,7 +4,7 @@ import os
 from decimal import Decimal
 
 import pytest
-from pyspark.errors import ArithmeticException
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 import data
@@ -66,7 +66,7 @@ def test_payslips_of_a_run_are_replaced(spark, tmp_path):
 
 
 def test_payslip_that_does_not_fit_is_not_stored(spark, tmp_path):
-    with pytest.raises(ArithmeticException):
+    with pytest.raises(SparkRuntimeException, match="total_hours 10000.00 does not fit"):
         sinks.write_payslips(slips(spark, (1, 1, "10000.00")), str(tmp_path))
 
 
