@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyroll.llm import chat, html_text, pieces, quality, shards, simhash, tiling, topk, urls, warc
 from tallyroll.llm.common import read_table
+from tallyroll.llm.oracle import ORACLE  # noqa: F401
 
 #: The public vocabulary that ``op1_sentencepiece`` reads.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -78,4 +79,3 @@ QUERIES = {
         op1_sentencepiece, op2_chat, op3_urls, op4_quality, op5_html, op6_simhash, op7_shards, op8_tiling, op9_topk, op10_warc
     )
 }
-ORACLE: dict[str, str] = {}

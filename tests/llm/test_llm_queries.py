@@ -1,0 +1,336 @@
+"""Every query against its SQL, or against a plain version of what it computes."""
+
+import hashlib
+import zlib
+from collections import Counter, defaultdict
+from html.parser import HTMLParser
+
+import duckdb
+import numpy as np
+import pytest
+import sentencepiece
+import xxhash
+from sentencepiece import sentencepiece_model_pb2
+
+import corpus_pipeline
+from tallyroll.llm import pieces, quality, simhash, tiling, urls
+from tallyroll.llm.queries import ORACLE, QUERIES, RULES, VOCABULARY
+
+SF = "/root/testdata/sf0.01"
+
+
+def table(name, columns="*"):
+    return duckdb.sql(f"select {columns} from '{SF}/{name}.parquet'").fetchall()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "embeddings", "conversations"):
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    want = con.sql(ORACLE[name])
+    got = QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(want.columns)
+    types = dict(zip(want.columns, (str(t).lower() for t in want.types), strict=True))
+    assert {c: {"string": "varchar", "int": "integer"}.get(t, t) for c, t in got.dtypes} == types
+    assert Counter(map(tuple, got.select(*want.columns).collect())) == Counter(want.fetchall())
+
+
+# 1
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return pieces.load_vocabulary(VOCABULARY, "rank")
+
+
+@pytest.fixture(scope="module")
+def library(vocabulary):
+    """The same pieces and scores as a Unigram model of the public library."""
+    model = sentencepiece_model_pb2.ModelProto()
+    with open(VOCABULARY, "rb") as f:
+        model.ParseFromString(f.read())
+    model.trainer_spec.model_type = sentencepiece_model_pb2.TrainerSpec.UNIGRAM
+    for i, p in enumerate(model.pieces):
+        p.score = float(vocabulary.scores[i])
+    return sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
+
+
+def test_sentencepiece_query(spark, vocabulary, library):
+    texts = dict(table("documents", "doc_id, text"))
+    rows = QUERIES["op1_sentencepiece"](spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    is_byte = set(vocabulary.bytes_.tolist())
+    for r in rows:
+        assert r.round_trip and r.n_tokens == len(r.ids) and r.n_bytes == sum(i in is_byte for i in r.ids)
+        assert library.decode(list(r.ids)) == texts[r.doc_id]
+        want = library.encode(texts[r.doc_id])
+        if list(r.ids) != want:  # paths of equal score
+            a, b = (sum(vocabulary.scores[i] for i in x if i not in is_byte) for x in (r.ids, want))
+            assert a == pytest.approx(b, abs=1e-2)
+
+
+# 3
+
+
+def test_url_query(spark):
+    def plain(url):
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        end = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+        path = rest[end:]
+        path = path[: min([path.find(c) for c in "?#" if c in path], default=len(path))]
+        host = "".join(c.lower() if c.isascii() else c for c in rest[:end])
+        fits = [
+            r for r in RULES
+            if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)
+        ]
+        return host, path, max(fits, key=lambda r: len(r.text), default=None)
+
+    bad = {"ads-track", "spam-farm", "casino-win", "adult-x", "cheap-pills", "free-bets"}
+    rows = {r.page_id: r for r in QUERIES["op3_urls"](spark, SF).collect()}
+    pages = table("pages", "page_id, url")
+    assert len(rows) == len(pages)
+    for page_id, url in pages:
+        host, path, rule = plain(url)
+        r = rows[page_id]
+        assert (r.host, r.path, r.rule) == (host, path, rule and rule.text)
+        by_method = "block" if bad & set(host.split(".")) else "allow"
+        assert r.verdict == (rule.verdict if rule else by_method)
+
+
+# 4
+
+
+def test_quality_query(spark):
+    labels = dict(table("labels", "doc_id, quality"))
+    rows = QUERIES["op4_quality"](spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(d for d, in table("documents", "doc_id"))
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5)
+    held = [r for r in rows if r.held_out and r.doc_id in labels]
+    assert np.mean([r.predicted == labels[r.doc_id] for r in held]) > 0.9
+
+
+def test_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(0)
+    params = [rng.normal(size=s) for s in ((256, 4), (32, 32), 32, 32, quality.SIZES)]
+    codes = rng.integers(1, 256, (3, 512)).astype(np.uint8)
+    target, weight, filled = np.array([0.0, 1, 1]), np.array([1.0, 0.5, 2]), np.array([512, 512, 512])
+
+    def loss():
+        model = quality.Model(*params)
+        peaks = quality._maxima(codes.ravel(), model).reshape(3, 2, -1)
+        peak = peaks.max(axis=1)
+        z = np.maximum(peak + params[2], 0) @ params[3] + params[4][quality._size_class(filled)]
+        return float((weight * np.logaddexp(0, np.where(target == 1, -z, z))).mean())
+
+    # The chunks of the plain version run into each other, so windows across their ends must not win.
+    codes[:, -8:] = 0
+    params[0][0] = 0
+    grads = quality._gradients(codes, filled, target, weight, params)
+    for p, g in zip(params, grads, strict=True):
+        for i in rng.choice(p.size, 6, replace=False):
+            if p is params[0] and i < 4:
+                continue
+            at, step = np.unravel_index(i, p.shape), 1e-4
+            p[at] += step
+            up = loss()
+            p[at] -= 2 * step
+            down = loss()
+            p[at] += step
+            assert g[at] == pytest.approx((up - down) / (2 * step), rel=0.05, abs=2e-3)
+
+
+# 5
+
+
+class Article(HTMLParser):
+    """Text of the article element, by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.inside, self.out = False, []
+
+    def handle_starttag(self, tag, attrs):
+        self.inside |= tag == "article"
+        if self.inside and tag in ("p", "br", "h1"):
+            self.out.append(" ")
+
+    def handle_endtag(self, tag):
+        self.inside &= tag != "article"
+        if self.inside and tag in ("p", "h1"):
+            self.out.append(" ")
+
+    def handle_data(self, data):
+        if self.inside:
+            self.out.append(data)
+
+
+def test_html_query(spark):
+    rows = {r.page_id: r for r in QUERIES["op5_html"](spark, SF).collect()}
+    pages = table("pages", "page_id, url, html")
+    assert len(rows) == len(pages)
+    for page_id, url, page in pages:
+        plain = Article()
+        plain.feed(page)
+        plain.close()
+        r = rows[page_id]
+        assert r.text == " ".join("".join(plain.out).split()), page_id
+        assert r.n_chars == len(r.text) and r.url == url
+
+
+# 6
+
+
+def plain_fingerprint(text):
+    low = "".join(c.lower() if c.isascii() else c for c in text).encode()
+    words = [w for w in low.replace(b"\t", b" ").replace(b"\n", b" ").replace(b"\x0b", b" ").replace(b"\x0c", b" ").replace(b"\r", b" ").split(b" ") if w]
+    if not words:
+        return 0
+    n = min(4, len(words))
+    h = [xxhash.xxh64_intdigest(b" ".join(words[i : i + n]), 42) for i in range(len(words) - n + 1)]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def plain_components(ids, fps, most):
+    root = list(range(len(ids)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    codes = np.array(fps, np.uint64)
+    for i in range(len(ids)):
+        for j in np.flatnonzero(np.bitwise_count(codes[:i] ^ codes[i]) <= most):
+            a, b = find(i), find(int(j))
+            root[max(a, b)] = min(a, b)
+    least = defaultdict(lambda: 1 << 62)
+    for i, d in enumerate(ids):
+        least[find(i)] = min(least[find(i)], d)
+    return [least[find(i)] for i in range(len(ids))]
+
+
+def test_simhash_query(spark):
+    docs = table("documents", "doc_id, text")
+    fps = [plain_fingerprint(t) for _, t in docs]
+    want = {
+        d: (f"{fp:016x}", c)
+        for (d, _), fp, c in zip(docs, fps, plain_components([d for d, _ in docs], fps, 4), strict=True)
+    }
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in QUERIES["op6_simhash"](spark, SF).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("limit", [simhash.LIST_LIMIT, 3])
+def test_links_of_dense_fingerprints(spark, limit):
+    """Chains and clouds of close fingerprints, with lists below and above the limit of a task."""
+    rng = np.random.default_rng(limit)
+    base = rng.integers(0, 1 << 63, 6, dtype=np.uint64)
+    fps = {0, (1 << 64) - 1}
+    for b in base.tolist():
+        for _ in range(40):
+            fps.add(b ^ sum(1 << int(i) for i in rng.choice(64, rng.integers(0, 6), replace=False)))
+    fps = sorted(fps)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    rows = spark.createDataFrame([(f,) for f in signed], "fp long")
+    roots = {r.fp: r.root for r in simhash.grouped(rows, 4, limit).collect()}
+    want = plain_components(list(range(len(fps))), fps, 4)
+    by_root, by_want = defaultdict(set), defaultdict(set)
+    for i, f in enumerate(signed):
+        by_root[roots[f]].add(i)
+        by_want[want[i]].add(i)
+    assert sorted(map(sorted, by_root.values())) == sorted(map(sorted, by_want.values()))
+
+
+# 8
+
+
+def plain_tiles(text, pattern, least):
+    """Greedy string tiling by comparing every pair of places again for each tile."""
+    used_t, used_p, covered = set(), set(), 0
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(text)):
+            for j in range(len(pattern)):
+                n = 0
+                while (
+                    i + n < len(text) and j + n < len(pattern) and text[i + n] == pattern[j + n]
+                    and i + n not in used_t and j + n not in used_p
+                ):
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        n, i, j = best
+        if n < least:
+            return covered
+        used_t |= set(range(i, i + n))
+        used_p |= set(range(j, j + n))
+        covered += n
+
+
+def test_tiling_query(spark):
+    docs, items = table("documents", "doc_id, text"), table("benchmark", "item_id, text")
+    want = {}
+    coded = [(i, tiling.words(t)) for i, t in items]
+    for d, t in docs:
+        w = tiling.words(t)
+        runs = {tuple(w[i : i + tiling.SEED]) for i in range(len(w))}
+        for i, p in coded:
+            if any(tuple(p[j : j + tiling.SEED]) in runs for j in range(len(p) - tiling.SEED + 1)):
+                covered = sum(n for _, _, n in tiling.greedy_tiles(w, p, tiling.SEED))
+                if covered >= tiling.COVERAGE * len(p):
+                    want[d, i] = covered
+    got = {(r.doc_id, r.item_id): r.covered for r in QUERIES["op8_tiling"](spark, SF).collect()}
+    assert got == want and want
+
+
+def test_tiles_equal_the_plain_version():
+    rng = np.random.default_rng(5)
+    for _ in range(60):
+        text, pattern = (rng.integers(0, 3, n).tolist() for n in rng.integers(1, 40, 2))
+        tiles = tiling.greedy_tiles(text, pattern, 3)
+        assert sum(n for _, _, n in tiles) == plain_tiles(text, pattern, 3)
+        assert all(text[i : i + n] == pattern[j : j + n] and n >= 3 for i, j, n in tiles)
+
+
+# pipeline
+
+
+def test_pipeline_equals_its_stages_in_plain_python(spark, vocabulary):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.fit(quality.labelled(documents, labels))
+    docs = table("documents", "doc_id, text")
+    kept = [x for x, s in zip(docs, quality.scores([t.encode() for _, t in docs], model), strict=True) if s >= 0.5]
+    groups = plain_components([d for d, _ in kept], [plain_fingerprint(t) for _, t in kept], 4)
+    kept = [x for x, g in zip(kept, groups, strict=True) if x[0] == g]
+    items = [tiling.words(t) for _, t in table("benchmark", "item_id, text")]
+
+    def clean(text):
+        w = tiling.words(text)
+        return all(sum(n for _, _, n in tiling.greedy_tiles(w, p, 5)) < 0.5 * len(p) for p in items if set(p) & set(w) and share(w, p))
+
+    def share(w, p):
+        runs = {tuple(w[i : i + 5]) for i in range(len(w))}
+        return any(tuple(p[j : j + 5]) in runs for j in range(len(p) - 4))
+
+    tokenizer = pieces.Tokenizer(vocabulary)
+    want = {d: tokenizer.encode(t) for d, t in kept if clean(t)}
+    got = {r.doc_id: list(r.ids) for r in corpus_pipeline.run(spark, SF).collect()}
+    assert got == want
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "decontamination", "sentencepiece"]
+
+
+def test_fit_of_urls_is_bounded(spark):
+    rows = spark.range(urls.FIT_ROWS + 1).selectExpr("'http://a/' as url", "0 as label")
+    with pytest.raises(ValueError, match="labelled table"):
+        urls.fit(rows)
+
+
+def test_digest_of_a_known_conversation(spark):
+    text = "</s>[INST] ok [/INST]"
+    row = QUERIES["op2_chat"](spark, SF).where("conv_id = -7").first()
+    assert row.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
+    assert row.loss_sha256 == hashlib.sha256(text.encode()).hexdigest() and row.loss_chars == len(text)
