@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyroll.llm.common import staged
+
 #: Bytes of half a chunk: chunks are two halves long and start at every half.
 HALF = 256
 #: Bytes of a filter's window and between windows, values of a byte's vector, filters.
@@ -115,22 +117,33 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), b.column("label")], ["chunks", "label"])
 
 
-def fit(rows: DataFrame, limit: int = FIT_ROWS, seed: int = 7) -> Model:
-    """A model of ``rows`` (``text``, ``label`` 0 or 1), fitted on at most ``limit`` of them.
+def fit(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS, seed: int = 7) -> Model:
+    """A model of at most ``limit`` labelled rows: ``docs`` (``doc_id``, ``text``) and ``labels`` (``doc_id``, ``quality``).
 
-    The rows taken are those with the smallest hashes of text, half of ``limit`` for each
-    label. At most ``limit * FIT_CHUNKS`` chunks of 512 bytes reach the driver. Rows with
-    other labels or none are left out; null texts count as empty. Without rows of both
-    labels the model gives one probability, the share of label 1 (a half without rows).
+    Ids that ``held_out`` names are never learned from. Taken are the ids with the smallest
+    hashes, half of ``limit`` for each label; only ids are shuffled to find them, and only
+    their texts are read further. At most ``limit * FIT_CHUNKS`` chunks of 512 bytes reach
+    the driver. Null texts count as empty; labels other than 0 and 1, and null ids, are left
+    out; an id with several texts counts once, with the least. Without rows of both labels
+    the model says one thing of every text: that label, or a half without rows.
     """
-    known = rows.where("label in (0, 1)").select(
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("label").cast("int").alias("label")
+    known = (
+        labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+        .select("doc_id", F.col("quality").cast("int").alias("label"))
+        .join(docs.select("doc_id"), "doc_id", "left_semi")
+        .groupBy("doc_id")
+        .agg(F.min("label").alias("label"))
+    )
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    zero, one = (known.where(F.col("label") == y).orderBy(*order).limit(limit // 2) for y in (0, 1))
+    taken = staged(zero.unionByName(one), "taken")  # ``limit`` rows at most, so it may be broadcast
+    rows = (
+        docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+        .join(F.broadcast(taken), "doc_id")
+        .groupBy("doc_id", "label")
+        .agg(F.min("text").alias("text"))
     )
-    taken = [
-        known.where(F.col("label") == y).orderBy(F.xxhash64("text"), "text").limit(limit // 2).mapInArrow(_sampled, "chunks binary, label int")
-        for y in (0, 1)
-    ]
-    got = [r for part in taken for r in part.collect()]
+    got = rows.select("text", "label").mapInArrow(_sampled, "chunks binary, label int").collect()
     return train([(bytes(r["chunks"]), r["label"]) for r in got], seed)
 
 
@@ -237,15 +250,9 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``text, label`` of the rows of ``docs`` that may be learned from; null ids have no label."""
-    known = labels.select("doc_id", F.col("quality").alias("label")).where(F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
-    return docs.select("doc_id", "text").join(known.distinct(), "doc_id").select("text", "label")
-
-
 def good(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> DataFrame:
     """The rows of ``docs`` with a score of 0.5 or more, with the columns of ``docs``."""
-    model = fit(labelled(docs, labels), limit)
+    model = fit(docs, labels, limit)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

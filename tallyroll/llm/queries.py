@@ -43,7 +43,7 @@ def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    model = quality.fit(quality.labelled(docs, read_table(spark, sf_dir, "labels")))
+    model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
     return quality.classified(docs, model, "doc_id").select(
         "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
     )

@@ -301,7 +301,7 @@ def test_tiles_equal_the_plain_version():
 def test_pipeline_equals_its_stages_in_plain_python(spark, vocabulary):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
-    model = quality.fit(quality.labelled(documents, labels))
+    model = quality.fit(documents, labels)
     docs = table("documents", "doc_id, text")
     kept = [x for x, s in zip(docs, quality.scores([t.encode() for _, t in docs], model), strict=True) if s >= 0.5]
     groups = plain_components([d for d, _ in kept], [plain_fingerprint(t) for _, t in kept], 4)
