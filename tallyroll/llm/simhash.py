@@ -265,4 +265,5 @@ def deduplicated(docs: DataFrame, most: int = MAX_BITS, limit: int = LIST_LIMIT)
         F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "row_no")).alias("first")
     )
     kept = roots.join(first, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row_no").alias(no))
-    return numbered.join(staged(kept, "kept"), no, "left_semi").select(*docs.columns)
+    # The list of rows grows with the documents, so it is never broadcast.
+    return numbered.join(staged(kept, "kept").hint("merge"), no, "left_semi").select(*docs.columns)
