@@ -97,14 +97,14 @@ def _stripped(page: str) -> list[tuple[str, int, bool]]:
         if not name:
             continue
         if skipped:
-            if name == skipped:
-                depth += -1 if closing else 1
-            # An open paragraph ends with the next block.
-            if depth == 0 or skipped == "p" and name in BLOCKS and name not in ("p", "br"):
+            # An open paragraph ends with the next block, which is no part of it.
+            if skipped == "p" and name in BLOCKS and name != "br" and not (closing and name == "p"):
                 skipped = ""
-                if depth == 0:
-                    continue
             else:
+                if name == skipped:
+                    depth += -1 if closing else 1
+                    if depth == 0:
+                        skipped = ""
                 continue
         if not closing and name in DROPPED:
             if name in ("script", "style", "textarea", "title"):  # raw text up to the end tag
