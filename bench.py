@@ -28,14 +28,12 @@ from tallyroll.sources import sinks
 from tallyroll.sources.storage import stage, working_folder
 from tallyroll.sources.tables import load_table
 from tallyroll.sources.timesheets import with_lineage
-from tallyroll.sources.workforce import synth_workforce
 
 HEADLINE = [
     "payslips",
     "payslips_many_runs",
     "payslips_released",
     "hours_by_employee",
-    "hours_in_id_range",
     "entries_for_runs",
     "payroll_summary",
     "import_classify",
@@ -51,6 +49,10 @@ HEADLINE = [
     "fk_violations",
     "csv_import",
     "payslips_rerun",
+    "import_job",
+    "summary_roundtrip",
+    "monthly_job",
+    "finalized_payslips",
 ]
 REPEATS = 3
 AT = datetime(2099, 2, 1)
@@ -67,9 +69,25 @@ def run_query(spark: SparkSession, sf_dir: str, name: str) -> None:
 
 
 def payslip_step(spark: SparkSession, employees_count: int):
-    """Store the generated workforce; return the step to time and the folder."""
+    """Store employees and their entries; return the step to time and the folder."""
     root = working_folder(spark, "bench")
-    employees, entries = synth_workforce(spark, employees_count, 4, 2099, 1)
+    # Only the sizes matter here: a rate for each employee and four entries of 8 hours.
+    ids = spark.range(1, employees_count + 1)
+    name = F.concat(F.lit("p"), F.col("id").cast("string"))
+    employees = ids.select(
+        "id",
+        *(name.alias(c) for c in ("first_name", "last_name", "email", "department", "bank_account")),
+        F.lit(30).cast("decimal(10,2)").alias("hourly_rate"),
+    )
+    day = F.explode(F.sequence(F.lit("2099-01-01").cast("date"), F.lit("2099-01-04").cast("date")))
+    entries = ids.select(
+        F.col("id").alias("employee_id"),
+        day.alias("work_date"),
+        F.lit(8).cast("decimal(4,2)").alias("hours_worked"),
+        F.lit("bench").alias("source_file"),
+        F.lit(2099).alias("work_year"),
+        F.lit(1).alias("work_month"),
+    )
     employees.write.parquet(f"{root}/employees")
     sinks.write_entries(with_lineage(entries, AT), root)
     runs = stage(

@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroll.functions.periods import period_key
+from tallyroll.operators import imports
 from tallyroll.schemas import AWAITING_REVIEW, COMPLETED, FAILED, HOURS, MONEY, STARTED, Params
 from tallyroll.sources.storage import stage, working_folder
 from tallyroll.sources.timesheets import normalise_raw
@@ -128,18 +128,16 @@ def supplier_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accepted entries: quantities above 24 are no valid hours."""
-    rows = table(spark, sf_dir, "lineitem").filter(
-        (F.col("l_quantity") > 0) & (F.col("l_quantity") <= 24)
-    )
-    day = F.col("l_shipdate").cast("date")
-    return rows.select(
+    """What the import accepts of all line items; it rejects quantities above 24."""
+    rows = table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("employee_id"),
-        day.alias("work_date"),
-        F.col("l_quantity").cast(HOURS).alias("hours_worked"),
+        text(F.col("l_shipdate").cast("date")).alias("work_date"),
+        text("l_quantity").alias("hours_worked"),
         F.lit("lineitem").alias("source_file"),
-        F.year(day).alias("work_year"),
-        F.month(day).alias("work_month"),
+    )
+    return imports.valid_rows(rows).select(
+        "employee_id", "work_date", F.col("hours_worked").cast(HOURS).alias("hours_worked"),
+        "source_file", "work_year", "work_month",
     )
 
 
@@ -224,6 +222,3 @@ def document_timesheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return normalise_raw(rows)
 
-
-def period_of(year: str = "period_year", month: str = "period_month") -> Column:
-    return period_key(F.col(year), F.col(month))

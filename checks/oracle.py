@@ -212,16 +212,6 @@ FROM event_rows WHERE event_id % 71 = 0 OR event_id % 73 = 0""",
     "lineage_counts": f"""{EVENT_WITH}
 SELECT '2024-02-01 03:00:00.000000' AS imported_at, count(*) AS entries, count(*) AS entries_of_csv_files
 FROM classified WHERE outcome = 'ok'""",
-    "synth_workforce": """
-SELECT c_custkey + 1 AS employee_id, 'Employee' || (c_custkey + 1) AS last_name,
-  'bench.employee.' || (c_custkey + 1) || '@example.com' AS email,
-  CASE (c_custkey + 1) % 5 WHEN 0 THEN 'Engineering' WHEN 1 THEN 'Sales' WHEN 2 THEN 'Finance'
-       WHEN 3 THEN 'HR' ELSE 'Operations' END AS department,
-  CAST(20 + (c_custkey + 1) % 60 AS DECIMAL(10,2)) AS hourly_rate,
-  'FR76' || lpad(CAST(c_custkey + 1 AS VARCHAR), 30, '0') AS bank_account,
-  CAST(CAST(DATE '2099-01-01' + CAST(d AS INTEGER) AS DATE) AS VARCHAR) AS work_date,
-  CAST(8 AS DECIMAL(4,2)) AS hours_worked
-FROM customer, (SELECT unnest([0, 1, 2, 3]) AS d)""",
     "normalise_raw": f"""WITH {EVENT_ROWS}
 SELECT event_id, trim(email, {BLANKS}) AS email,
   CASE WHEN event_id % 79 = 0 THEN '' ELSE work_date END AS work_date,
@@ -409,6 +399,20 @@ SELECT 'employees' AS table_name, 'unique_email' AS rule,
   CASE WHEN id % 103 = 0 THEN 'shared' || (id % 3) || '@example.com' ELSE email END AS "key",
   count(*) AS violations
 FROM customer_employees GROUP BY 3 HAVING count(*) > 1""",
+    "duplicate_ids": f"""WITH {CUSTOMER_EMPLOYEES}
+SELECT 'employees' AS table_name, 'unique_id' AS rule, CAST("key" AS VARCHAR) AS "key", count(*) AS violations
+FROM (SELECT CASE WHEN id % 5 = 0 THEN id // 10 ELSE id END AS "key" FROM customer_employees)
+GROUP BY "key" HAVING count(*) > 1""",
+    "import_job": f"""{EVENT_WITH}, {EVENT_ENTRIES}
+SELECT 'accepted' AS kind, CAST(employee_id AS VARCHAR) AS who,
+  strftime(work_date, '%Y-%m-%d') || ',' || CAST(hours_worked AS VARCHAR) AS what, true AS traced FROM event_entries
+UNION ALL
+SELECT 'rejected', substr(email || ',' || work_date || ',' || hours_worked, 1, 500), substr(reason, 1, 255), true
+FROM classified WHERE outcome <> 'ok'""",
+    "run_history_by_completion": f"""WITH {ORDER_RUNS}
+SELECT id, status, {_micros("completed_at")}
+FROM (SELECT *, CASE WHEN status = 'COMPLETED' THEN started_at END AS completed_at FROM order_runs
+  ORDER BY completed_at DESC NULLS FIRST, started_at ASC NULLS LAST, id LIMIT 20 OFFSET 40)""",
     "check_violations": "\nUNION ALL\n".join(
         [
             _broken("employees", "hourly_rate_positive", "c_custkey", "customer", "c_custkey % 101 = 0"),

@@ -15,7 +15,7 @@ from tallyroll.operators import payslips as payslip_ops
 from tallyroll.operators import runs as run_ops
 from tallyroll.plans import monthly
 from tallyroll.schemas import AWAITING_REVIEW, STARTED, SUMMARY_COLUMNS, Params
-from tallyroll.sources import sinks, timesheets, workforce
+from tallyroll.sources import sinks, timesheets
 from tallyroll.sources.storage import stage, working_folder
 from tallyroll.sources.tables import load_table
 
@@ -86,18 +86,6 @@ def _write_csv(rows: DataFrame, folder: str, sep: str) -> None:
     )
 
 
-@query
-def synth_workforce(spark, sf_dir):
-    ids = fx.table(spark, sf_dir, "customer").select((F.col("c_custkey") + 1).alias("id"))
-    employees = workforce.synth_employees(ids).select(
-        F.col("id").alias("employee_id"), "last_name", "email", "department", "hourly_rate", "bank_account"
-    )
-    entries = workforce.synth_entries(ids, 4, 2099, 1).select(
-        "employee_id", fx.text("work_date").alias("work_date"), "hours_worked"
-    )
-    return employees.join(entries, "employee_id")
-
-
 @query
 def normalise_raw(spark, sf_dir):
     event = F.col("event_id")
@@ -503,9 +491,7 @@ def summary_roundtrip(spark, sf_dir):
     calculated = payslip_ops.payslips(_lineitem_hours(spark, sf_dir, runs), LIMITS)
     slips = stage(payslip_ops.as_stored(calculated), f"{folder}/payslips")
     employees = fx.supplier_employees(spark, sf_dir)
-    files = sinks.export_summary(
-        spark, slips, employees, runs, f"{folder}/summaries", Params().rows_per_summary_file
-    )
+    files = sinks.export_summary(spark, slips, employees, runs, f"{folder}/summaries")
     return _read_summaries(spark, files)
 
 
@@ -550,6 +536,27 @@ def monthly_job(spark, sf_dir):
     return runs.join(paid, "id", "left").select("id", "status", "payslips", "net_pay")
 
 
+@query
+def import_job(spark, sf_dir):
+    """The production import of a CSV file, from the scan to the stored tables."""
+    root = working_folder(spark, "import-job")
+    fx.customer_employees(spark, sf_dir).write.parquet(f"{root}/employees")
+    rejects_allowed = Params(skip_limit=2_147_483_647)
+    monthly.import_timesheets(
+        spark, root, _events_as_csv(spark, sf_dir), fx.EVENTS_RUN, fx.AT, rejects_allowed, "quarantine"
+    )
+    entries = load_table(spark, root, "timesheet_entries").select(
+        F.lit("accepted").alias("kind"),
+        fx.text("employee_id").alias("who"),
+        F.concat_ws(",", fx.text("work_date"), fx.text("hours_worked")).alias("what"),
+        (F.col("source_file").startswith("part-") & F.col("source_file").endswith(".csv")).alias("traced"),
+    )
+    rejects = load_table(spark, root, "rejected_timesheet_entries").select(
+        F.lit("rejected").alias("kind"), F.col("raw_line").alias("who"), F.col("reason").alias("what"), F.lit(True).alias("traced")
+    )
+    return entries.unionByName(rejects)
+
+
 @query
 def finalized_payslips(spark, sf_dir):
     root, routes = _stored_month(spark, sf_dir)
@@ -590,6 +597,23 @@ def duplicate_emails(spark, sf_dir):
     return quality.duplicate_emails(employees)
 
 
+@query
+def duplicate_ids(spark, sf_dir):
+    # A fifth of the customers get the id of another one.
+    employees = fx.customer_employees(spark, sf_dir).withColumn(
+        "id", F.when(F.col("id") % 5 == 0, F.floor(F.col("id") / 10)).otherwise(F.col("id"))
+    )
+    return quality.duplicate_ids(employees, "employees")
+
+
+@query
+def run_history_by_completion(spark, sf_dir):
+    # Open runs have no completion and come first, as nulls do in PostgreSQL.
+    order = [("completed_at", True), ("started_at", False)]
+    page = run_ops.run_history_page(fx.order_runs(spark, sf_dir), page=2, size=PAGE_SIZE, sort=order)
+    return page.select("id", "status", fx.timestamp_text("completed_at").alias("completed_at"))
+
+
 @query
 def check_violations(spark, sf_dir):
     employees = fx.customer_employees(spark, sf_dir).withColumn(

@@ -9,8 +9,12 @@ from tallyroll.functions.periods import in_period
 
 
 def period_entries(entries: DataFrame, year: int, month: int) -> DataFrame:
-    """Entries whose work date lies in the month."""
-    return entries.filter(in_period(F.col("work_date"), year, month))
+    """Entries whose work date lies in the month. Stored entries are pruned to
+    the month's own partition."""
+    found = entries.filter(in_period(F.col("work_date"), year, month))
+    if {"work_year", "work_month"} <= set(entries.columns):
+        found = found.filter((F.col("work_year") == year) & (F.col("work_month") == month))
+    return found
 
 
 def in_id_range(employee_id: Column, low: int, high: int) -> Column:
@@ -21,11 +25,8 @@ def in_id_range(employee_id: Column, low: int, high: int) -> Column:
 def run_periods(runs: DataFrame) -> DataFrame:
     """The distinct months of the runs. At most twelve per year, so this side
     of a join is small however many runs there are."""
-    months = runs.select(
+    return runs.select(
         F.col("period_year").alias("work_year"), F.col("period_month").alias("work_month")
-    )
-    return months.filter(
-        F.col("work_month").between(1, 12) & F.col("work_year").between(0, 9999)
     ).distinct()
 
 
@@ -50,8 +51,10 @@ def hours_by_employee(
     employees: DataFrame,
     runs: DataFrame,
     id_range: tuple[int, int] | None = None,
+    strict: bool = False,
 ) -> DataFrame:
-    """Total hours of each employee in each run, with the hourly rate.
+    """Total hours of each employee in each run, with the hourly rate. With
+    ``strict``, hours of an employee who is not known raise; else they drop out.
 
     Entries are summed by employee and month before anything is joined, so
     the only rows to cross the network are partial sums: a busy employee does
@@ -60,7 +63,14 @@ def hours_by_employee(
     if id_range is not None:
         entries = entries.filter(in_id_range(F.col("employee_id"), *id_range))
     rates = employees.select(F.col("id").alias("employee_id"), "hourly_rate")
-    return _spread_over_runs(_month_totals(entries, runs, "employee_id").join(rates, "employee_id"), runs)
+    totals = _month_totals(entries, runs, "employee_id")
+    if not strict:
+        return _spread_over_runs(totals.join(rates, "employee_id"), runs)
+    unknown = F.concat(F.lit("hours of an unknown employee: "), F.col("employee_id").cast("string"))
+    rated = totals.join(rates, "employee_id", "left").withColumn(
+        "hourly_rate", F.coalesce("hourly_rate", F.raise_error(unknown).cast("decimal(10,2)"))
+    )
+    return _spread_over_runs(rated, runs)
 
 
 def hours_by_email(rows: DataFrame, employees: DataFrame, runs: DataFrame) -> DataFrame:

@@ -40,6 +40,33 @@ def duplicate_emails(employees: DataFrame) -> DataFrame:
     )
 
 
+def duplicate_ids(rows: DataFrame, table: str) -> DataFrame:
+    """Ids of more than one row. A repeated employee would multiply pay."""
+    return (
+        rows.groupBy(F.col("id").cast("string").alias("key"))
+        .agg(F.count("*").alias("violations"))
+        .filter(F.col("violations") > 1)
+        .select(F.lit(table).alias("table_name"), F.lit("unique_id").alias("rule"), "key", "violations")
+    )
+
+
+def guarded(rows: DataFrame, table: str) -> DataFrame:
+    """``rows`` of which one that breaks a rule of its table raises when it is
+    written: the checks are part of the writing pass."""
+    hours, rate = F.col("hours_worked"), F.col("hourly_rate")
+    checks = {
+        "timesheet_entries": {"hours_in_range": (hours <= 0) | (hours > 24)},
+        "employees": {"hourly_rate_positive": rate <= 0},
+    }.get(table, {})
+    nullable = {"payroll_run_states": {"completed_at"}}.get(table, set())
+    bad = {f"{name} is null": F.col(name).isNull() for name in rows.columns if name not in nullable} | checks
+    broken = F.coalesce(*(F.when(rule, F.lit(f"{table}: {name}")) for name, rule in bad.items()))
+    first = rows.columns[0]
+    kind = rows.schema[first].dataType
+    kept = F.when(broken.isNull(), F.col(first)).otherwise(F.raise_error(broken).cast(kind))
+    return rows.withColumn(first, kept)
+
+
 def _row_report(rows: DataFrame, table: str, key: str, rules: dict[str, Column]) -> DataFrame:
     """One report row per row and broken rule."""
     broken = F.array_compact(F.array(*(F.when(bad, F.lit(rule)) for rule, bad in rules.items())))

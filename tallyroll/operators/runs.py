@@ -21,7 +21,7 @@ SORTABLE = PAYROLL_RUNS.fieldNames()
 def validate_run_requests(requests: DataFrame) -> DataFrame:
     """Add ``invalid_fields``: the fields of a request out of bounds."""
     month_bad = ~F.coalesce(F.col("period_month").between(1, 12), F.lit(False))
-    year_bad = ~F.coalesce(F.col("period_year") >= 2000, F.lit(False))
+    year_bad = ~F.coalesce(F.col("period_year").between(2000, 9999), F.lit(False))
     failing = F.array(
         F.when(month_bad, F.lit("periodMonth")),
         F.when(year_bad, F.lit("periodYear")),
@@ -63,6 +63,29 @@ def changed_state(runs: DataFrame, status: str, at: datetime, change: int) -> Da
     ).select(*RUN_STATES.fieldNames())
 
 
+def after_log(states: DataFrame, log: DataFrame) -> DataFrame:
+    """``states`` with sequence numbers above those their runs have in ``log``,
+    whatever the caller's clock says."""
+    last = (
+        log.join(states.select("id").distinct(), "id", "left_semi")
+        .groupBy("id")
+        .agg(F.max("seq").alias("_last"))
+    )
+    seq = F.greatest(F.col("seq"), F.col("_last") + 1)
+    return states.join(last, "id", "left").withColumn("seq", seq).select(*RUN_STATES.fieldNames())
+
+
+def with_known_ids(requests: DataFrame, log: DataFrame) -> DataFrame:
+    """Requests validated; ``id`` is among the invalid fields if the log has
+    the id already, or several requests share it, or it is null."""
+    repeated = requests.groupBy("id").agg((F.count("*") > 1).alias("_repeated"))
+    known = log.select("id").distinct().withColumn("_known", F.lit(True))
+    checked = validate_run_requests(requests).join(repeated, "id", "left").join(known, "id", "left")
+    taken = F.col("id").isNull() | F.coalesce("_repeated", F.lit(False)) | F.coalesce("_known", F.lit(False))
+    fields = F.when(taken, F.array_append("invalid_fields", F.lit("id"))).otherwise(F.col("invalid_fields"))
+    return checked.withColumn("invalid_fields", fields).drop("_repeated", "_known")
+
+
 def hold_runs(runs: DataFrame, at: datetime) -> DataFrame:
     return changed_state(runs, AWAITING_REVIEW, at, HOLD)
 
@@ -77,21 +100,28 @@ def current_runs(states: DataFrame) -> DataFrame:
     One aggregation instead of a window: states are reduced before the
     shuffle, so a run with very many states does not fill a task. The status
     travels as its position in the fixed list, which keeps the aggregation
-    buffer numeric.
+    buffer numeric; the rare text that is not in the list is looked up after.
     """
-    code = F.array_position(F.array(*map(F.lit, STATUSES)), F.col("status")).cast("int")
-    latest = F.max_by(F.col("code"), F.col("seq"))
+    known = F.array(*map(F.lit, STATUSES))
+    code = F.array_position(known, F.col("status")).cast("int")
+    other = (
+        states.filter(~F.col("status").isin(*STATUSES))
+        .groupBy("id", F.col("seq").alias("_seq"))
+        .agg(F.min("status").alias("_other"))
+    )
     return (
         states.withColumn("code", code)
         .groupBy("id")
         .agg(
             F.max_by("period_month", "seq").alias("period_month"),
             F.max_by("period_year", "seq").alias("period_year"),
-            latest.alias("code"),
+            F.max_by("code", "seq").alias("code"),
+            F.max("seq").alias("_seq"),
             F.min("started_at").alias("started_at"),
             F.max("completed_at").alias("completed_at"),
         )
-        .withColumn("status", F.element_at(F.array(*map(F.lit, STATUSES)), F.col("code")))
+        .join(other, ["id", "_seq"], "left")
+        .withColumn("status", F.coalesce(F.get(known, F.col("code") - 1), F.col("_other")))
         .select(*PAYROLL_RUNS.fieldNames())
     )
 
@@ -138,25 +168,27 @@ def run_history_page(
     runs: DataFrame,
     page: int = 0,
     size: int = 20,
-    sort: str = "started_at",
+    sort: str | list[tuple[str, bool]] = "started_at",
     descending: bool = True,
-    top_rows: int = 10_000,
 ) -> DataFrame:
     """One page of the run history, newest first by default; equal values are
     ordered by id. A page past the end is empty.
 
-    Spark finds a page among the first ``top_rows`` without sorting the rest.
-    A later one would make a single task hold all rows before it, so there
-    the rows are sorted once, in parallel, and picked by their number.
+    ``sort`` is a column, or several with whether each is descending. Nulls are
+    the largest values, as in PostgreSQL: first descending, last ascending.
+    The rows are sorted once, in parallel, and picked by their number, so a
+    page far down costs what the first one does.
     """
     if page < 0 or size < 1:
         raise ValueError("page must be at least 0 and size at least 1")
-    if sort not in SORTABLE:
-        raise ValueError(f"cannot sort by {sort!r}, expected one of {SORTABLE}")
-    order = [F.col(sort).desc() if descending else F.col(sort).asc(), F.col("id")]
+    keys = [(sort, descending)] if isinstance(sort, str) else sort
+    for name, _ in keys:
+        if name not in SORTABLE:
+            raise ValueError(f"cannot sort by {name!r}, expected one of {SORTABLE}")
+    order = [
+        F.col(name).desc_nulls_first() if down else F.col(name).asc_nulls_last() for name, down in keys
+    ] + [F.col("id")]
     first = page * size
-    if first + size <= top_rows:
-        return runs.orderBy(*order).offset(first).limit(size)
     numbered = _numbered(runs.orderBy(*order))
     wanted = F.col("_number").between(first, first + size - 1)
     return numbered.filter(wanted).drop("_number").orderBy(*order)

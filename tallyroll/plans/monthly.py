@@ -11,10 +11,10 @@ from tallyroll.operators import hours as hours_ops
 from tallyroll.operators import imports, metrics, review
 from tallyroll.operators import payslips as payslip_ops
 from tallyroll.operators import runs as run_ops
-from tallyroll.operators.quality import duplicate_emails, require_clean
+from tallyroll.operators.quality import duplicate_emails, duplicate_ids, require_clean
 from tallyroll.schemas import AWAITING_REVIEW, COMPLETED, Params
 from tallyroll.sources import sinks
-from tallyroll.sources.storage import stage, working_folder
+from tallyroll.sources.storage import remove, stage, working_folder
 from tallyroll.sources.tables import load_table
 from tallyroll.sources.timesheets import (
     normalise_raw,
@@ -31,9 +31,13 @@ class LaunchRefusedError(ValueError):
 
 def create(spark: SparkSession, root: str, requests: DataFrame, at: datetime) -> DataFrame:
     """Store a started run for each valid request (id, month, year). Returns
-    the requests refused, with the fields out of bounds."""
-    sinks.append_run_state(run_ops.create_runs(requests, at), root)
-    return run_ops.validate_run_requests(requests).filter(F.size("invalid_fields") > 0)
+    the requests refused, with the fields out of bounds; a known or repeated
+    id is refused too."""
+    log = load_table(spark, root, "payroll_run_states")
+    checked = stage(run_ops.with_known_ids(requests, log), working_folder(spark, "create"))
+    good = checked.filter(F.size("invalid_fields") == 0).drop("invalid_fields")
+    sinks.append_run_state(run_ops.create_runs(good, at), root)
+    return checked.filter(F.size("invalid_fields") > 0)
 
 
 def import_timesheets(
@@ -58,23 +62,28 @@ def import_timesheets(
         require_no_blank_lines(spark, csv_path)
     employees = load_table(spark, root, "employees")
     require_clean(duplicate_emails(employees))
+    require_clean(duplicate_ids(employees, "employees"))
     scanned = scan_timesheets(spark, csv_path)
     rows = well_formed(scanned, fail=True) if malformed == "fail" else normalise_raw(scanned)
     classified = imports.classify(rows, employees).withColumn(
         "payroll_run_id", F.lit(run_id).cast("bigint")
     )
-    staged = stage(classified, working_folder(spark, "import"), partition_by=["outcome"])
-
-    imports.enforce_skip_limit(staged, params.skip_limit)
-    entries, rejected = imports.split(staged)
-    sub_cent = imports.sub_cent_entries(entries).head(1)
-    if sub_cent:
-        raise ValueError(f"hours of employee {sub_cent[0].employee_id} round to 0.00")
-    # Entries come last: a failure before them may leave rejects twice after a
-    # repeated import, but never hours.
-    sinks.write_rejected(rejected, root)
-    sinks.write_entries(with_lineage(entries, at), root)
-    return metrics.import_metrics(staged)
+    folder = working_folder(spark, "import")
+    try:
+        staged = stage(classified, folder, partition_by=["outcome"])
+        imports.enforce_skip_limit(staged, params.skip_limit)
+        entries, rejected = imports.split(staged)
+        sub_cent = imports.sub_cent_entries(entries).head(1)
+        if sub_cent:
+            raise ValueError(f"hours of employee {sub_cent[0].employee_id} round to 0.00")
+        # Entries come last: a failure before them may leave rejects twice after a
+        # repeated import, but never hours.
+        sinks.write_rejected(rejected, root)
+        sinks.write_entries(with_lineage(entries, at), root)
+        counters = metrics.import_metrics(staged)
+        return spark.createDataFrame(counters.collect(), counters.schema)  # a row for the run
+    finally:
+        remove(spark, folder)
 
 
 def run_monthly(
@@ -101,14 +110,18 @@ def run_monthly(
             raise ValueError("an import needs the run its rejects belong to")
         import_timesheets(spark, root, csv_path, import_run_id, at, params, malformed)
 
-    hours = _staged_hours(spark, root, runs)
-    flags = review.review_flags(runs, hours, params.anomaly_threshold_hours)
-    routes = stage(review.route(flags), working_folder(spark, "routes"))
-    held = _runs_in(runs, review.runs_on(routes, review.REVIEW_REQUIRED))
-    sinks.append_run_state(run_ops.hold_runs(held, at), root)
-    proceeding = _runs_in(runs, review.runs_on(routes, review.PROCEED))
-    _pay(spark, root, proceeding, review.release(hours, routes), at, params)
-    return routes
+    folder = working_folder(spark, "hours")
+    try:
+        hours = _staged_hours(spark, root, runs, folder)
+        flags = review.review_flags(runs, hours, params.anomaly_threshold_hours)
+        routes = stage(review.route(flags), working_folder(spark, "routes"))
+        held = _runs_in(runs, review.runs_on(routes, review.REVIEW_REQUIRED))
+        sinks.append_run_state(run_ops.hold_runs(held, at), root)
+        proceeding = _runs_in(runs, review.runs_on(routes, review.PROCEED))
+        _pay(spark, root, proceeding, review.release(hours, routes), at, params)
+        return routes
+    finally:
+        remove(spark, folder)
 
 
 def run_finalize(
@@ -122,8 +135,12 @@ def run_finalize(
     resumed = run_ops.resumed_states(outcomes, at)
     sinks.append_run_state(resumed, root)
     runs = resumed.drop("seq")
-    _pay(spark, root, runs, _staged_hours(spark, root, runs), at, params)
-    return outcomes
+    folder = working_folder(spark, "hours")
+    try:
+        _pay(spark, root, runs, _staged_hours(spark, root, runs, folder), at, params)
+        return outcomes
+    finally:
+        remove(spark, folder)
 
 
 def _requested(spark: SparkSession, root: str, requests: DataFrame) -> DataFrame:
@@ -158,19 +175,13 @@ def _require_launchable(
         )
 
 
-def _staged_hours(spark: SparkSession, root: str, runs: DataFrame) -> DataFrame:
+def _staged_hours(spark: SparkSession, root: str, runs: DataFrame, folder: str) -> DataFrame:
     """Hours of the runs, summed once and staged: routing and payslips read
-    the same figures. The months are few, so their list goes into the filter
-    and only their partitions are scanned."""
-    months = hours_ops.run_periods(runs).collect()
-    wanted = F.lit(False)
-    for month in months:
-        wanted = wanted | (
-            (F.col("work_year") == month.work_year) & (F.col("work_month") == month.work_month)
-        )
-    entries = load_table(spark, root, "timesheet_entries").filter(wanted)
+    the same figures. The join with the months prunes the scan to theirs."""
+    entries = load_table(spark, root, "timesheet_entries")
     employees = load_table(spark, root, "employees")
-    return stage(hours_ops.hours_by_employee(entries, employees, runs), working_folder(spark, "hours"))
+    require_clean(duplicate_ids(employees, "employees"))
+    return stage(hours_ops.hours_by_employee(entries, employees, runs, strict=True), folder)
 
 
 def _pay(
@@ -178,13 +189,12 @@ def _pay(
 ) -> None:
     """Payslips, summary and completion. The state comes last: it marks that
     the rest is in place."""
-    sinks.write_payslips(payslip_ops.payslips(hours, params, at), root)
+    sinks.write_payslips(payslip_ops.payslips(hours, params, at), root, runs)
     sinks.export_summary(
         spark,
         load_table(spark, root, "payslips"),
         load_table(spark, root, "employees"),
         runs,
         params.export_dir,
-        params.rows_per_summary_file,
     )
     sinks.append_run_state(run_ops.complete_runs(runs, at), root)

@@ -129,4 +129,3 @@ class Params:
     deduction_rate: Decimal = Decimal("0.15")
     grid_size: int = 4
     export_dir: str = "exports"
-    rows_per_summary_file: int = 1_000_000

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroll.functions.periods import period_key
 from tallyroll.operators.payslips import as_stored, with_employee_columns
-from tallyroll.operators.ranges import slice_of_id
+from tallyroll.operators.quality import guarded
+from tallyroll.operators.runs import after_log
 from tallyroll.schemas import REJECTED_ENTRIES, RUN_STATES, SUMMARY_COLUMNS, TABLES
-from tallyroll.sources.storage import list_names, replace_path, stage, working_folder, write_text
-from tallyroll.sources.tables import table_path
+from tallyroll.sources.storage import list_names, remove, replace_path, write_text
+from tallyroll.sources.tables import load_table, table_path
 
 
 def write_entries(entries: DataFrame, root: str) -> None:
@@ -24,15 +27,25 @@ def write_rejected(rejected: DataFrame, root: str) -> None:
     _write(rejected.select(*REJECTED_ENTRIES.fieldNames()), root, "rejected_timesheet_entries", mode="append")
 
 
-def write_payslips(payslips: DataFrame, root: str) -> None:
+def write_payslips(payslips: DataFrame, root: str, runs: DataFrame | None = None) -> None:
     """Write the payslips of some runs, replacing those of the same runs only:
-    a repeated job leaves one payslip per run and employee."""
+    a repeated job leaves one payslip per run and employee.
+
+    ``runs`` (column ``id``) are all runs that were calculated. Those of them
+    that have no payslips now keep none from before.
+    """
     _write(as_stored(payslips), root, "payslips", mode="overwrite")
+    if runs is not None:
+        paid = payslips.select(F.col("payroll_run_id").alias("id")).distinct()
+        for (run_id,) in runs.select("id").join(paid, "id", "left_anti").toLocalIterator():
+            remove(payslips.sparkSession, f"{table_path(root, 'payslips')}/payroll_run_id={run_id}")
 
 
 def append_run_state(states: DataFrame, root: str) -> None:
-    """Append status changes to the log that stands for the run table."""
-    _write(states.select(*RUN_STATES.fieldNames()), root, "payroll_run_states", mode="append")
+    """Append status changes to the log that stands for the run table. Each
+    change comes after those its run has in the log."""
+    log = load_table(states.sparkSession, root, "payroll_run_states")
+    _write(after_log(states, log), root, "payroll_run_states", mode="append")
 
 
 def _write(df: DataFrame, root: str, name: str, mode: str) -> None:
@@ -40,6 +53,7 @@ def _write(df: DataFrame, root: str, name: str, mode: str) -> None:
     into files of a sensible size and splits a value that holds much of the
     data, where a plain shuffle on it would leave it to one task."""
     schema, partition_by = TABLES[name]
+    df = guarded(df, name)
     if partition_by:
         df = df.select(*schema.fieldNames()).hint("rebalance", *partition_by)
     (
@@ -56,16 +70,18 @@ def export_summary(
     employees: DataFrame,
     runs: DataFrame,
     folder: str,
-    rows_per_file: int,
+    single_file: bool = False,
 ) -> list[str]:
     """Write ``payroll-summary-<yyyy-MM>.csv`` for the period of each run.
 
-    A run of up to ``rows_per_file`` payslips becomes one
-    file in employee order. A larger one becomes a folder of that name with
-    numbered part files, each the next range of employee ids, so no task
-    handles a whole large run. A run without payslips gets the header alone.
-    Of several runs of one period the one with the highest id stays, as if
-    they had been exported one after the other.
+    Each is a folder of part files, which read in the order of their names give
+    the employees in order; each part has the header. ``single_file`` makes each
+    a plain file instead, written by one task. A run without payslips gets the
+    header alone. Of several runs of one period the one with the highest id
+    stays, as if they had been exported one after the other.
+
+    The files are written beside their targets, so a move never leaves the
+    filesystem, and a target is replaced as a whole.
     """
     exported = (
         runs.groupBy("period_year", "period_month")
@@ -75,51 +91,38 @@ def export_summary(
             period_key(F.col("period_year"), F.col("period_month")).alias("period"),
         )
     )
-    chosen = payslips.join(exported, "payroll_run_id")
-    staging = working_folder(spark, "summary")
-    # One row per run. Staged, its size is known, so that joining it does not
-    # shuffle the payslips by run.
-    layout = stage(
-        chosen.groupBy("payroll_run_id").agg(
-            F.min("employee_id").alias("low"),
-            F.max("employee_id").alias("high"),
-            F.call_function("div", F.count("*") + (rows_per_file - 1), F.lit(rows_per_file)).alias("slices"),
-        ),
-        f"{staging}/layout",
-    )
-    placed = with_employee_columns(chosen.join(layout, "payroll_run_id"), employees).withColumn(
-        "slice", slice_of_id(F.col("employee_id"), F.col("low"), F.col("high"), F.col("slices"))
-    )
-    files = f"{staging}/files"
-    (
-        placed.select("period", "slice", *SUMMARY_COLUMNS)
-        .repartition("period", "slice")
-        .sortWithinPartitions("period", "slice", "employee_id")
-        .write.mode("overwrite")
-        .partitionBy("period", "slice")
-        .option("header", True)
-        .csv(files)
-    )
-    return _promote(spark, exported, files, folder)
+    # Twelve a year: only the names of the periods pass through the driver.
+    periods = [period for (period,) in exported.select("period").orderBy("period").collect()]
+    if not periods:
+        return []
+    chosen = with_employee_columns(payslips.join(exported, "payroll_run_id"), employees)
+    rows = chosen.select("period", *SUMMARY_COLUMNS)
+    dealt = rows.repartition("period") if single_file else rows.repartitionByRange("period", "employee_id")
+    staging = f"{folder.rstrip('/')}/.staging-{uuid.uuid4().hex}"
+    try:
+        (
+            dealt.sortWithinPartitions("period", "employee_id")
+            .write.partitionBy("period")
+            .option("header", True)
+            .csv(f"{staging}/files")
+        )
+        return _promote(spark, periods, staging, folder, single_file)
+    finally:
+        remove(spark, staging)
 
 
-def _promote(spark: SparkSession, exported: DataFrame, staging: str, folder: str) -> list[str]:
-    """Give the staged files their final names. Only names pass through the
-    driver, one per period and part."""
+def _promote(
+    spark: SparkSession, periods: list[str], staging: str, folder: str, single_file: bool
+) -> list[str]:
+    """Give the staged files their final names."""
     targets = []
-    for (period,) in exported.select("period").orderBy("period").collect():
+    written = set(list_names(spark, f"{staging}/files"))
+    for period in periods:
         target = f"{folder.rstrip('/')}/payroll-summary-{period}.csv"
-        staged = f"{staging}/period={period}"
-        slices = sorted(list_names(spark, staged), key=lambda name: int(name.split("=")[1]))
-        if not slices:
-            write_text(spark, target, ",".join(SUMMARY_COLUMNS) + "\n")
-        elif len(slices) == 1:
-            replace_path(spark, _only_file(spark, f"{staged}/{slices[0]}"), target)
-        else:
-            for number, name in enumerate(slices):
-                part = _only_file(spark, f"{staged}/{name}")
-                replace_path(spark, part, f"{staged}/parts/part-{number:05d}.csv")
-            replace_path(spark, f"{staged}/parts", target)
+        source = f"{staging}/files/period={period}"
+        if f"period={period}" not in written:
+            write_text(spark, f"{source}/part-00000.csv", ",".join(SUMMARY_COLUMNS) + "\n")
+        replace_path(spark, _only_file(spark, source) if single_file else source, target)
         targets.append(target)
     return targets
 

@@ -11,10 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 def working_folder(spark: SparkSession, label: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which every executor sees.
 
-    Only where the session names none, as in local tests, a local temporary
-    folder is used. The folder is removed when the application ends.
+    A local session that names none, as in tests, uses a temporary folder;
+    elsewhere that is an error, since executors would not see it. The folder
+    is removed when the application ends, or earlier by :func:`remove`.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.gettempdir()
     folder = f"{base.rstrip('/')}/tallyroll-{label}-{uuid.uuid4().hex}"
     path = _path(spark, folder)
     filesystem = _filesystem(spark, path)
@@ -39,16 +45,29 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().getName() for status in filesystem.listStatus(path))
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a file or folder, if it is there."""
+    path = _path(spark, folder)
+    _filesystem(spark, path).delete(path, True)
+
+
 def replace_path(spark: SparkSession, source: str, target: str) -> None:
-    """Move a file or folder over ``target``, replacing what is there."""
+    """Move a file or folder over ``target``, replacing what is there. Both lie
+    on one filesystem; what was there stays until the new one is in place."""
     source_path, target_path = _path(spark, source), _path(spark, target)
     filesystem = _filesystem(spark, target_path)
     if not filesystem.exists(target_path.getParent()):
         filesystem.mkdirs(target_path.getParent())
-    if filesystem.exists(target_path):
-        filesystem.delete(target_path, True)
+    former = _path(spark, f"{source}-former")
+    replaced = filesystem.exists(target_path)
+    if replaced and not filesystem.rename(target_path, former):
+        raise OSError(f"cannot replace {target}")
     if not filesystem.rename(source_path, target_path):
+        if replaced:
+            filesystem.rename(former, target_path)
         raise OSError(f"cannot move {source} to {target}")
+    if replaced:
+        filesystem.delete(former, True)
 
 
 def write_text(spark: SparkSession, target: str, text: str) -> None:

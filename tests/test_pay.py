@@ -114,7 +114,7 @@ def test_period_filter_reaches_the_scan(spark, tmp_path):
     entries = data.entries(spark, (1, "2026-08-01", "1"), (1, "2026-08-31", "2"), (1, "2026-09-01", "3"), (1, "2026-12-31", "4"))
     entries.write.parquet(str(tmp_path / "e"))
     stored = spark.read.parquet(str(tmp_path / "e"))
-    august = hours_ops.period_entries(stored, 2026, 8)
+    august = hours_ops.period_entries(stored.drop("work_year", "work_month"), 2026, 8)
     assert august.count() == 2
     assert stored.filter(in_period(F.col("work_date"), 2026, 12)).count() == 1
     plan = august._jdf.queryExecution().executedPlan().toString()
@@ -149,3 +149,14 @@ def test_previous_period(spark):
     df = spark.createDataFrame([("2026-01-15",), ("2026-03-31",), ("2024-03-30",)], "d string")
     got = df.select(previous_period(F.col("d").cast("date")).alias("p")).collect()
     assert [r.p for r in got] == ["2025-12", "2026-02", "2024-02"]
+
+
+def test_period_of_stored_entries_prunes_to_its_month(spark, tmp_path):
+    entries = data.entries(spark, (1, "2026-08-01", "1"), (1, "2026-08-31", "2"), (1, "2026-09-01", "3"))
+    entries.write.partitionBy("work_year", "work_month").parquet(str(tmp_path / "e"))
+    august = hours_ops.period_entries(spark.read.parquet(str(tmp_path / "e")), 2026, 8)
+    assert august.count() == 2
+    files = {r.f for r in august.selectExpr("_metadata.file_path as f").collect()}
+    assert all("work_month=8" in f for f in files)
+    plan = august._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(work_year" in plan

@@ -7,9 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 import data
+from tallyroll.operators import hours as hours_ops
 from tallyroll.operators import review
 from tallyroll.operators import runs as run_ops
+from tallyroll.plans import monthly
 from tallyroll.schemas import PAYROLL_RUNS, RUN_STATES
+from tallyroll.sources import sinks
+from tallyroll.sources.tables import load_table
 
 HOURS = "payroll_run_id bigint, employee_id bigint, hourly_rate decimal(10,2), total_hours decimal(14,2)"
 
@@ -127,10 +131,10 @@ def test_pages_of_the_history(spark):
 @pytest.mark.parametrize("page", [0, 1, 7, 8, 9, 20])
 def test_deep_pages_equal_shallow_ones(spark, page):
     runs, _ = history(spark)
-    shallow = run_ops.run_history_page(runs, page, 7)
-    deep = run_ops.run_history_page(runs, page, 7, top_rows=0)
-    assert deep.columns == shallow.columns
-    assert deep.collect() == shallow.collect()
+    plain = runs.orderBy(F.col("started_at").desc(), "id").collect()[page * 7 : page * 7 + 7]
+    got = run_ops.run_history_page(runs, page, 7)
+    assert got.columns == runs.columns
+    assert got.collect() == plain
 
 
 @pytest.mark.parametrize("count, size, pages", [(57, 20, 3), (40, 20, 2), (0, 20, 0), (1, 20, 1)])
@@ -151,3 +155,52 @@ def test_launch_guard(spark):
         ("payrollFinalizeJob", 1, "2026-08"),
         ("payrollFinalizeJob", 2, "2026-08"),
     ]
+
+
+def test_an_earlier_clock_does_not_reorder_the_log(spark, tmp_path):
+    root, late, early = str(tmp_path), datetime(2026, 9, 1, 3), datetime(2026, 9, 1, 2)
+    requests = spark.createDataFrame([(1, 8, 2026)], "id long, period_month int, period_year int")
+    assert monthly.create(spark, root, requests, late).count() == 0
+    log = load_table(spark, root, "payroll_run_states")
+    sinks.append_run_state(run_ops.complete_runs(run_ops.current_runs(log), early), root)
+    assert run_ops.current_runs(load_table(spark, root, "payroll_run_states")).first().status == "COMPLETED"
+
+
+def test_known_and_repeated_ids_are_refused(spark, tmp_path):
+    root, at = str(tmp_path), datetime(2026, 9, 1, 3)
+    kind = "id long, period_month int, period_year int"
+    assert monthly.create(spark, root, spark.createDataFrame([(7, 8, 2026)], kind), at).count() == 0
+    again = spark.createDataFrame([(7, 9, 2026), (8, 9, 2026), (9, 1, 2026), (9, 2, 2026), (10, 1, 10000)], kind)
+    refused = {(r.id, tuple(r.invalid_fields)) for r in monthly.create(spark, root, again, at).collect()}
+    assert refused == {(7, ("id",)), (9, ("id",)), (10, ("periodYear",))}
+    runs = {r.id: r.period_month for r in run_ops.current_runs(load_table(spark, root, "payroll_run_states")).collect()}
+    assert runs == {7: 8, 8: 9}
+
+
+def test_an_unknown_status_stays(spark):
+    runs = data.runs(spark, (1, 2026, 8), (2, 2026, 8))
+    states = run_ops.changed_state(runs, "PAUSED", datetime(2026, 9, 1), run_ops.HOLD)
+    assert {r.status for r in run_ops.current_runs(states).collect()} == {"PAUSED"}
+
+
+def test_nulls_are_the_largest_and_keys_may_be_several(spark):
+    day = datetime(2026, 9, 1)
+    rows = [(1, 8, 2026, "A", day, None), (2, 8, 2026, "A", day, day), (3, 8, 2025, "B", day, None)]
+    kind = "id long, period_month int, period_year int, status string, started_at timestamp_ntz, completed_at timestamp_ntz"
+    runs = spark.createDataFrame(rows, kind)
+    page = lambda **k: [r.id for r in run_ops.run_history_page(runs, 0, 5, **k).collect()]
+    assert page(sort="completed_at") == [1, 3, 2]
+    assert page(sort="completed_at", descending=False) == [2, 1, 3]
+    assert page(sort=[("status", True), ("id", True)]) == [3, 2, 1]
+
+
+def test_hours_of_very_many_months_and_of_unknown_employees(spark):
+    months = [(i, 1 + i % 12, 2000 + i // 12) for i in range(2400)]
+    runs = spark.createDataFrame(months, "id long, period_month int, period_year int")
+    entries = runs.selectExpr(
+        "1L as employee_id", "period_year as work_year", "period_month as work_month", "8.00bd as hours_worked"
+    )
+    known = spark.createDataFrame([(1,)], "id long").selectExpr("id", "cast(30 as decimal(10,2)) as hourly_rate")
+    assert hours_ops.hours_by_employee(entries, known, runs, strict=True).count() == 2400
+    with pytest.raises(Exception, match="unknown employee: 1"):
+        hours_ops.hours_by_employee(entries, known.filter("id > 1"), runs, strict=True).collect()

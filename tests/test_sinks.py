@@ -1,6 +1,7 @@
 """Stored tables and summary files."""
 
 import os
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 import data
 from tallyroll.operators import payslips
-from tallyroll.schemas import SUMMARY_COLUMNS, Params
+from tallyroll.schemas import SUMMARY_COLUMNS
 from tallyroll.sources import sinks
 from tallyroll.sources.storage import stage, working_folder
 from tallyroll.sources.tables import load_table
@@ -84,10 +85,10 @@ def test_working_folder_lies_in_the_shared_folder(spark):
     assert folder != working_folder(spark, "t")
 
 
-def export(spark, tmp_path, rows, runs, rows_per_file=Params().rows_per_summary_file):
+def export(spark, tmp_path, rows, runs, single_file=True):
     stored = stage(payslips.as_stored(slips(spark, *rows)), working_folder(spark, "s"))
     out = str(tmp_path / "exports")
-    return out, sinks.export_summary(spark, stored, data.employees(spark), runs, out, rows_per_file)
+    return out, sinks.export_summary(spark, stored, data.employees(spark), runs, out, single_file)
 
 
 def lines(path):
@@ -122,16 +123,32 @@ def test_of_two_runs_of_a_month_the_later_stays(spark, tmp_path):
     assert [line.split(",")[0] for line in lines(path)[1:]] == ["2"]
 
 
-def test_large_summary_becomes_ordered_parts(spark, tmp_path):
-    runs = data.runs(spark, (1, 2026, 8), (2, 2026, 9))
+def test_a_summary_is_a_folder_of_ordered_parts(spark, tmp_path):
+    """Also with ids far apart: parts follow the rows, not the width of the ids."""
+    runs = data.runs(spark, (1, 2026, 8), (2, 2026, 9), (3, 2026, 10))
     rows = [(1, e, "8") for e in (5, 4, 3, 2, 1)] + [(2, 1, "8")]
-    out, files = export(spark, tmp_path, rows, runs, rows_per_file=2)
-    parts = sorted(n for n in os.listdir(files[0]) if n.startswith("part"))
-    assert parts == ["part-00000.csv", "part-00001.csv", "part-00002.csv"]
-    ids = [line.split(",")[0] for part in parts for line in lines(f"{files[0]}/{part}")[1:]]
-    assert ids == ["1", "2", "3", "4", "5"]
-    assert spark.read.csv(files[0], header=True).count() == 5
-    assert os.path.isfile(files[1])
-    # The next export of the month may be small again.
-    _, again = export(spark, tmp_path, [(1, 2, "8")], data.runs(spark, (1, 2026, 8)))
-    assert len(lines(again[0])) == 2
+    out, files = export(spark, tmp_path, rows, runs, single_file=False)
+    for path, want in zip(files, (["1", "2", "3", "4", "5"], ["1"], []), strict=True):
+        parts = sorted(n for n in os.listdir(path) if n.startswith("part"))
+        assert all(lines(f"{path}/{p}")[0] == ",".join(SUMMARY_COLUMNS) for p in parts)
+        assert [line.split(",")[0] for p in parts for line in lines(f"{path}/{p}")[1:]] == want
+        assert spark.read.csv(path, header=True).count() == len(want)
+    _, again = export(spark, tmp_path, [(1, 2, "8")], data.runs(spark, (1, 2026, 8)), single_file=False)
+    assert again == files[:1] and spark.read.csv(again[0], header=True).count() == 1
+    assert not [n for n in os.listdir(out) if n.startswith(".staging")]
+
+
+def test_a_rerun_without_payslips_clears_the_run(spark, tmp_path):
+    root, runs = str(tmp_path), data.runs(spark, (1, 2026, 8), (2, 2026, 9))
+    sinks.write_payslips(slips(spark, (1, 1, "40"), (2, 1, "40")), root, runs)
+    sinks.write_payslips(slips(spark, (1, 1, "41")), root, runs)
+    assert [(r.payroll_run_id, int(r.total_hours)) for r in load_table(spark, root, "payslips").collect()] == [(1, 41)]
+
+
+def test_rows_that_break_a_rule_are_not_written(spark, tmp_path):
+    good = (1, date(2026, 8, 3), Decimal("8.00"), "f.csv", datetime(2026, 9, 1), 2026, 8)
+    kind = "employee_id long, work_date date, hours_worked decimal(4,2), source_file string, imported_at timestamp_ntz, work_year int, work_month int"
+    for at, value in ((0, None), (2, Decimal("24.01")), (2, Decimal("0.00")), (3, None)):
+        bad = tuple(value if i == at else v for i, v in enumerate(good))
+        with pytest.raises(Exception, match="timesheet_entries"):
+            sinks.write_entries(spark.createDataFrame([good, bad], kind), str(tmp_path / f"{at}{value}"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import data
 from tallyroll.operators.imports import import_accepted
 from tallyroll.schemas import TABLES
-from tallyroll.sources import tables, timesheets, workforce
+from tallyroll.sources import tables, timesheets
 
 
 def rows(df):
@@ -94,17 +94,3 @@ def test_jdbc_options_split_the_scan_by_id():
     options = tables.jdbc_options("jdbc:postgresql://host/db", "payslips", 1, 1000, 16)
     assert options["partitionColumn"] == "employee_id"
     assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("1", "1000", "16")
-
-
-def test_generated_workforce(spark):
-    employees, entries = workforce.synth_workforce(spark, 130, 4, 2099, 1)
-    assert employees.count() == employees.select("email").distinct().count() == 130
-    first = employees.filter("id = 61").first()
-    assert (first.department, str(first.hourly_rate), len(first.bank_account)) == ("Sales", "21.00", 34)
-    per_employee = entries.groupBy("employee_id").agg(
-        F.count("*").alias("n"), F.sum("hours_worked").alias("h"), F.max("work_date").alias("last")
-    )
-    assert per_employee.filter("n <> 4 or h <> 32 or last <> date'2099-01-04'").count() == 0
-    assert per_employee.count() == 130
-    with pytest.raises(ValueError):
-        workforce.synth_workforce(spark, 1, 0, 2099, 1)
