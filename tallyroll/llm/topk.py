@@ -4,15 +4,16 @@ The components of the vectors are split into LISTS slices. A slice gives each qu
 of partial scores, and a score is the sum of its partial scores. Partial scores are taken
 above the lowest of their list, so none is negative.
 
-1. Each list sends its largest entries. Sums of what was sent bound the k-th best score of
-   a query from below.
+1. In each block of candidates a list names its largest entries. The k-th best score of
+   all that were named bounds the k-th best score of the query from below.
 2. That bound divided by the number of lists is a safe cutoff: a candidate below it in
-   every list can't reach the bound. Each list sends all entries at or above the cutoff.
-   What is known and what can be missing bound each candidate from below and above, and
-   those that can't reach the k-th best lower bound go.
-3. The scores of the remaining candidates are worked out exactly and ranked.
+   every list can't reach the bound. It goes to all blocks, and each list names all entries
+   at or above it.
+3. The scores of what was named are worked out exactly where the vectors are; those that
+   reach the bound, the k best of each block, are ranked.
 
-Partial scores are made a block of queries and a block of candidates at a time.
+Partial scores are made a block of queries and a block of candidates at a time. Scores are
+integers below 2**53, which double precision holds exactly.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,13 +53,14 @@ def _valid(name: str) -> F.Column:
 def _blocks(rows: DataFrame, number: str, count: int, extra: list[str]) -> DataFrame:
     """Blocks of about equal numbers of rows, dealt by a hash of their numbers."""
     of = F.pmod(F.xxhash64("no"), F.lit(count)).alias(number)
-    return rows.select(of, F.struct("no", "v", *extra).alias("r")).groupBy(number).agg(F.collect_list("r").alias(f"{number}_rows"))
+    return rows.select(of, F.struct("no", "vec_id", "v", *extra).alias("r")).groupBy(number).agg(F.collect_list("r").alias(f"{number}_rows"))
 
 
-def _matrix(rows: list[dict], dims: int) -> np.ndarray:
-    out = np.zeros((len(rows), dims))
-    for i, r in enumerate(rows):
-        out[i, : len(r["v"])] = r["v"]
+def _matrix(v: pa.ListArray, dims: int) -> np.ndarray:
+    """A row for each list of ``v``, filled up with zeros."""
+    out = np.zeros((len(v), dims))
+    sizes = pc.list_value_length(v).to_numpy(zero_copy_only=False).astype(np.int64)
+    out[np.arange(dims) < sizes[:, None]] = v.flatten().to_numpy(zero_copy_only=False)
     return out
 
 
@@ -66,67 +69,85 @@ def _slices(dims: int, lists: int) -> list[slice]:
     return [slice(a, b) for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
+class _Pair:
+    """A block of queries, a block of candidates in the order of ties, and the lists between them."""
+
+    def __init__(self, q_rows: pa.StructArray, c_rows: pa.StructArray, dims: int, lists: int):
+        self.q, self.c = (dict(zip((f.name for f in x.type), x.flatten(), strict=True)) for x in (q_rows, c_rows))
+        q_no, self.c_no = self.q["no"].to_numpy(), self.c["no"].to_numpy()
+        none = self.c["vec_id"].is_null().to_numpy(zero_copy_only=False)
+        self.order = np.lexsort((self.c_no, pc.fill_null(self.c["vec_id"], 0).to_numpy(), none))
+        self.c_no = self.c_no[self.order]
+        qm, cm = _matrix(self.q["v"], dims), _matrix(self.c["v"], dims)[self.order]
+        self.partial = [qm[:, part] @ cm[:, part].T for part in _slices(dims, lists)]
+        self.own = q_no[:, None] == self.c_no[None, :]
+        self.score = sum(self.partial[1:], self.partial[0].copy())
+        self.score[self.own] = -np.inf
+
+
+def _pairs_of(batches: Iterator[pa.RecordBatch], dims: int, lists: int) -> Iterator[_Pair]:
+    for b in batches:
+        q, c = b.column("q_rows"), b.column("c_rows")
+        for i in range(b.num_rows):
+            yield _Pair(q[i].values, c[i].values, dims, lists)
+
+
 def _largest(dims: int, lists: int, k: int):
-    """Phase 1 for pairs of blocks: each list's ``k`` largest partial scores and its smallest."""
+    """Phase 1: for each query of a pair of blocks the lists' lowest partial scores, and the ``k`` best scores of what the lists name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for pair in b.to_pylist():
-                q, c = _matrix(pair["q_rows"], dims), _matrix(pair["c_rows"], dims)
-                q_no, c_no = (np.array([r["no"] for r in pair[f"{x}_rows"]]) for x in "qc")
-                own = q_no[:, None] == c_no[None, :]
-                for i, part in enumerate(_slices(dims, lists)):
-                    score = q[:, part] @ c[:, part].T
-                    low = score.min(axis=1)
-                    score[own] = -np.inf
-                    take = min(k, len(c_no))
-                    top = np.argpartition(-score, take - 1, axis=1)[:, :take]
-                    value = np.take_along_axis(score, top, axis=1)
-                    ok = value > -np.inf
-                    n = ok.sum(axis=1)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.repeat(q_no, n)),
-                            pa.array(np.full(int(n.sum()), i, np.int32)),
-                            pa.array(c_no[top][ok]),
-                            pa.array(value[ok].astype(np.int64)),
-                            pa.array(np.repeat(low, n).astype(np.int64)),
-                        ],
-                        ["query", "list", "candidate", "score", "low"],
-                    )
+        for pair in _pairs_of(batches, dims, lists):
+            n = pair.score.shape[1]
+            take = min(k, n)
+            named = np.zeros(pair.score.shape, bool)
+            for partial in pair.partial:
+                top = np.argpartition(np.where(pair.own, np.inf, -partial), take - 1, axis=1)[:, :take]
+                np.put_along_axis(named, top, True, axis=1)
+            best = -np.partition(np.where(named, -pair.score, np.inf), take - 1, axis=1)[:, :take]
+            lows = np.stack([partial.min(axis=1) for partial in pair.partial], axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pair.q["no"],
+                    pa.array(list(lows.astype(np.int64)), pa.list_(pa.int64())),
+                    pa.array([x[x > -np.inf].astype(np.int64) for x in best], pa.list_(pa.int64())),
+                ],
+                ["query", "lows", "best"],
+            )
 
     return run
 
 
-def _reaching(dims: int, lists: int):
-    """Phase 2 for pairs of blocks: each list's entries at or above the query's cutoff."""
+def _reaching(dims: int, lists: int, k: int):
+    """Phases 2 and 3 for pairs of blocks: what a list names at or above the cutoff, with its exact score, and of these each query's ``k`` best."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for pair in b.to_pylist():
-                q, c = _matrix(pair["q_rows"], dims), _matrix(pair["c_rows"], dims)
-                q_no, c_no = (np.array([r["no"] for r in pair[f"{x}_rows"]]) for x in "qc")
-                bound = np.array([r["bound"] for r in pair["q_rows"]], np.float64)
-                lows = np.array([r["lows"] for r in pair["q_rows"]], np.float64).reshape(len(q_no), lists)
-                own = q_no[:, None] == c_no[None, :]
-                for i, part in enumerate(_slices(dims, lists)):
-                    score = q[:, part] @ c[:, part].T - lows[:, i : i + 1]
-                    at, to = np.nonzero((score * lists >= bound[:, None]) & ~own)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(q_no[at]), pa.array(c_no[to]), pa.array(score[at, to].astype(np.int64))],
-                        ["query", "candidate", "score"],
-                    )
+        for pair in _pairs_of(batches, dims, lists):
+            bound = pair.q["bound"].to_numpy().astype(np.float64)
+            lows = _matrix(pair.q["lows"], lists)
+            cutoff = bound - lows.sum(axis=1)  # of all lists together
+            named = np.zeros(pair.score.shape, bool)
+            for i, partial in enumerate(pair.partial):
+                named |= (partial - lows[:, i : i + 1]) * lists >= cutoff[:, None]
+            at, to = np.nonzero(named & (pair.score >= bound[:, None]) & ~pair.own)
+            score = pair.score[at, to]
+            order = np.lexsort((to, -score, at))
+            at, to, score = at[order], to[order], score[order]
+            keep = np.arange(len(at)) - np.searchsorted(at, at) < k
+            at, to = at[keep], to[keep]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pair.q["no"].take(pa.array(at)),
+                    pair.q["vec_id"].take(pa.array(at)),
+                    pa.array(pair.c_no[to]),
+                    pair.c["vec_id"].take(pa.array(pair.order[to])),
+                    pa.array(score[keep].astype(np.int64)),
+                ],
+                ["query", "query_id", "candidate", "vec_id", "score"],
+            )
 
     return run
 
 
-def _kth(rows: DataFrame, k: int) -> DataFrame:
-    """``query, bound``: the k-th largest ``known`` of each query that has so many rows."""
-    order = Window.partitionBy("query").orderBy(F.desc("known"))
-    ranked = rows.select("query", "known", F.row_number().over(order).alias("place")).where(F.col("place") <= k)
-    return ranked.where(F.col("place") == k).select("query", F.col("known").alias("bound"))
-
-
 def top_k(embeddings: DataFrame, is_query, k: int = 5, lists: int = LISTS) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` best other rows of each row for which ``is_query`` (a column of ``vec_id``).
 
@@ -145,52 +166,26 @@ def top_k(embeddings: DataFrame, is_query, k: int = 5, lists: int = LISTS) -> Da
     total, dims, most, asked = size[0], max(size[1] or 0, lists), size[2] or 0, size[3]
     if most * most * dims * 4 >= _EXACT:
         raise ValueError("components are too large for exact scores")
-    # Of equal vectors only the first k + 1 in the order of ties can be among a query's best.
-    same = Window.partitionBy("v").orderBy(F.col("vec_id").asc_nulls_last(), "no")
-    candidates = rows.withColumn("place", F.row_number().over(same)).where(F.col("place") <= k + 1).drop("place")
     queries = rows.where(is_query)
     q_blocks, c_blocks = max(-(-asked // QUERY_ROWS), 1), max(-(-total // CANDIDATE_ROWS), 1)
-    c_side = staged(_blocks(candidates, "c", c_blocks, []), "candidates").withColumn(
-        "q", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)).cast("array<long>"))
-    )
+    every = {n: F.explode(F.sequence(F.lit(0), F.lit(count - 1)).cast("array<long>")) for n, count in (("q", q_blocks), ("c", c_blocks))}
+    c_side = staged(_blocks(rows, "c", c_blocks, []), "candidates").withColumn("q", every["q"])
 
     def pairs(q_rows: DataFrame, extra: list[str]) -> DataFrame:
-        return c_side.join(_blocks(q_rows, "q", q_blocks, extra), "q").select("q_rows", "c_rows")
-
-    sent = staged(
-        pairs(queries, []).mapInArrow(_largest(dims, lists, k), "query long, list int, candidate long, score long, low long"), "lists"
-    )
-    lows = sent.groupBy("query", "list").agg(F.min("low").alias("low"))
-    known = sent.drop("low").join(lows, ["query", "list"]).groupBy("query", "candidate").agg(F.sum(F.col("score") - F.col("low")).alias("known"))
-    per_query = lows.groupBy("query").agg(F.transform(F.array_sort(F.collect_list(F.struct("list", "low"))), lambda s: s["low"]).alias("lows"))
+        # Both sides by both numbers, so that pairs of blocks are dealt evenly, however few blocks of queries there are.
+        return c_side.join(_blocks(q_rows, "q", q_blocks, extra).withColumn("c", every["c"]), ["q", "c"]).select("q_rows", "c_rows")
+
+    sent = staged(pairs(queries, []).mapInArrow(_largest(dims, lists, k), "query long, lows array<long>, best array<long>"), "lists")
+    lows = sent.groupBy("query").agg(F.array(*(F.min(F.col("lows")[i]) for i in range(lists))).alias("lows"))
+    order = Window.partitionBy("query").orderBy(F.desc("score"))
+    ranked = sent.select("query", F.explode("best").alias("score")).withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    bounds = ranked.where(F.col("place") == k).select("query", F.col("score").alias("bound"))
+    least = F.aggregate("lows", F.lit(0).cast("long"), lambda s, x: s + x)
     cutoffs = staged(
-        per_query.join(_kth(known, k), "query", "left").select(
-            F.col("query").alias("no"), "lows", F.coalesce("bound", F.lit(0)).alias("bound")
-        ),
-        "cutoffs",
+        lows.join(bounds, "query", "left").select(F.col("query").alias("no"), "lows", F.coalesce("bound", least).alias("bound")), "cutoffs"
     )
     reached = pairs(queries.join(cutoffs, "no"), ["bound", "lows"]).mapInArrow(
-        _reaching(dims, lists), "query long, candidate long, score long"
-    )
-    partial = staged(
-        reached.groupBy("query", "candidate").agg(F.sum("score").alias("known"), F.count("*").alias("seen")), "entries"
-    )
-    first = cutoffs.select(F.col("no").alias("query"), F.col("bound").alias("cutoff"))
-    second = _kth(partial, k)
-    possible = (
-        partial.join(first, "query")
-        .join(second, "query", "left")
-        .where(
-            F.col("bound").isNull()
-            | (F.col("known") * lists + (lists - F.col("seen")) * F.col("cutoff") >= F.col("bound") * lists)
-        )
-        .select("query", "candidate")
-    )
-    q = rows.select(F.col("no").alias("query"), F.col("vec_id").alias("query_id"), F.col("v").alias("qv"))
-    c = rows.select(F.col("no").alias("candidate"), "vec_id", "v")
-    product = F.aggregate(
-        F.zip_with("qv", "v", lambda a, b: F.coalesce(a, F.lit(0)) * F.coalesce(b, F.lit(0))), F.lit(0).cast("long"), lambda s, x: s + x
+        _reaching(dims, lists, k), "query long, query_id long, candidate long, vec_id long, score long"
     )
-    exact = possible.join(q, "query").join(c, "candidate").select("query", "query_id", "candidate", "vec_id", product.alias("score"))
     best = Window.partitionBy("query").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last(), "candidate")
-    return exact.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return reached.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
