@@ -2,7 +2,9 @@
 
 import hashlib
 import importlib.util
+import math
 import os
+import random
 import subprocess
 import sys
 from collections import Counter
@@ -242,6 +244,22 @@ def test_top_k(spark):
         topk.top_k(spark.createDataFrame([(0, [1e30])], "vec_id long, embedding array<double>"), F.col("vec_id") == 0)
 
 
+def test_top_k_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_ROWS", 3)
+    monkeypatch.setattr(topk, "CANDIDATE_ROWS", 7)
+    draw = random.Random(5)
+    rows = [(i, [draw.randint(-2, 2) / 4 for _ in range(6)]) for i in range(60)]
+    rows += [(100 + i, [0.5] * 6) for i in range(20)] + [(200, [-40.0] * 6)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3, "vec_id")
+    whole = {i: [math.floor(256 * x) for x in v] for i, v in rows}
+    want = []
+    for q in (i for i in whole if i % 10 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], whole[c], strict=True)), c) for c in whole if c != q)
+        want += [(q, rank, c, -s) for rank, (s, c) in enumerate(scores[:5], 1)]
+    got = [tuple(r) for r in topk.top_k(table, F.col("vec_id") % 10 == 0).orderBy("query_id", "rank").collect()]
+    assert got == sorted(want)
+
+
 @pytest.mark.parametrize("least, types", [(0, {"response": 5, "revisit": 3}), (1, {"response": 6, "revisit": 2})])
 def test_warc(spark, tmp_path, least, types):
     trap = "\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n"
