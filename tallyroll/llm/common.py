@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,6 +47,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_keyed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a column ``name`` that names each row the same way in every scan.
+
+    It is the Parquet file and the place in it. A count of the rows of a task would follow
+    how files are split, which changes with the cores alive when a scan is planned. Rows
+    without a place are written first; those of a join or explode have one that several
+    rows may share, and must be staged by the caller.
+    """
+    try:
+        place = df.metadataColumn("_metadata")
+        at = F.lpad(place["row_index"].cast("string"), 12, "0")
+        return df.select("*", F.concat_ws("#", place["file_path"], at).alias(name))
+    except AnalysisException:
+        return row_keyed(staged(df, "keyed"), name)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroll.llm.common import free_name, staged
+from tallyroll.llm.common import free_name, row_keyed, staged
 from tallyroll.llm.graph import components
 
 BYTES = 8
@@ -252,12 +252,11 @@ def near_duplicates(docs: DataFrame, most: int = MAX_BITS, limit: int = LIST_LIM
 def deduplicated(docs: DataFrame, most: int = MAX_BITS, limit: int = LIST_LIMIT) -> DataFrame:
     """The rows of ``docs`` of which each group of near duplicates keeps one: that of the smallest doc_id.
 
-    Columns are those of ``docs``. Of rows with the same smallest doc_id the first in
-    the order of the input stays; null ids come last. ``docs`` must be a table read
-    from storage, whose rows keep their numbers when a task runs again.
+    Columns are those of ``docs``. Of rows with the same smallest doc_id the first by
+    file and place stays; null ids come last. Rows of a join must be staged first.
     """
     no = free_name(docs, "row_no")
-    numbered = docs.withColumn(no, F.monotonically_increasing_id())
+    numbered = row_keyed(docs, no)
     ids = numbered.select(F.col(no).alias("row_no"), "doc_id", "text")
     marked = staged(fingerprints(ids, "row_no", "doc_id"), "fingerprints")
     roots = grouped(marked, most, limit)

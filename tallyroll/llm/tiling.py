@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyroll.llm.common import free_name, staged
+from tallyroll.llm.common import free_name, row_keyed, staged
 
 SEED, COVERAGE = 5, 0.5
 #: Bits of the filter of seeds that every task gets: half a megabyte, however large the benchmark.
@@ -78,7 +78,7 @@ _ITEMS = pa.schema(
 )
 _HITS = pa.schema(
     {
-        "row_no": pa.int64(),
+        "row_no": pa.string(),
         "doc_id": pa.int64(),
         "seeds": pa.list_(pa.int64()),
         "spans": pa.list_(pa.struct({"at": pa.int32(), "words": pa.list_(pa.string())})),
@@ -206,7 +206,7 @@ def _rolling(codes: list[int], free: list[bool], size: int) -> Iterator[tuple[in
 def _tiled(coverage: float):
     schema = pa.schema(
         {
-            "row_no": pa.int64(),
+            "row_no": pa.string(),
             "doc_id": pa.int64(),
             "item_id": pa.int64(),
             "n_words": pa.int32(),
@@ -236,11 +236,11 @@ def _tiled(coverage: float):
     return run
 
 
-_TILED = "row_no long, doc_id long, item_id long, n_words int, covered int, tiles array<struct<doc_word:int,item_word:int,length:int>>"
+_TILED = "row_no string, doc_id long, item_id long, n_words int, covered int, tiles array<struct<doc_word:int,item_word:int,length:int>>"
 
 
 def contaminated_rows(numbered: DataFrame, benchmark: DataFrame, least: int = SEED, coverage: float = COVERAGE) -> DataFrame:
-    """Like ``contaminated``, for rows ``row_no, doc_id, text``; the numbers come back too."""
+    """Like ``contaminated``, for rows ``row_no, doc_id, text``; ``row_no`` (a string) comes back too."""
     spark = numbered.sparkSession
     items = staged(
         benchmark.select(
@@ -261,7 +261,7 @@ def contaminated_rows(numbered: DataFrame, benchmark: DataFrame, least: int = SE
     hits = staged(
         docs.mapInArrow(
             _hits(widths, spark.sparkContext.broadcast(packed)),
-            "row_no long, doc_id long, seeds array<long>, spans array<struct<at:int,words:array<string>>>",
+            "row_no string, doc_id long, seeds array<long>, spans array<struct<at:int,words:array<string>>>",
         ),
         "hits",
     )
@@ -288,7 +288,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = SEED, cover
     ids come back null; repeated rows and items give a row each. Other columns are
     ignored. An empty table on either side gives no rows.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "text")
+    rows = docs.select(F.monotonically_increasing_id().cast("string").alias("row_no"), "doc_id", "text")
     found = contaminated_rows(rows, benchmark, least, coverage)
     return found.select("doc_id", "item_id", "n_words", "covered", (F.col("covered") / F.col("n_words")).alias("coverage"), "tiles")
 
@@ -296,11 +296,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: int = SEED, cover
 def decontaminated(docs: DataFrame, benchmark: DataFrame, least: int = SEED, coverage: float = COVERAGE) -> DataFrame:
     """The rows of ``docs`` that hold no item, with the columns of ``docs``.
 
-    ``docs`` must be a table read from storage, whose rows keep their numbers when a task
-    runs again.
+    Rows of a join must be staged first.
     """
     no = free_name(docs, "row_no")
-    numbered = docs.withColumn(no, F.monotonically_increasing_id())
+    numbered = row_keyed(docs, no)
     found = contaminated_rows(numbered.select(F.col(no).alias("row_no"), "doc_id", "text"), benchmark, least, coverage)
     gone = staged(found.select(F.col("row_no").alias(no)).distinct(), "contaminated")
     return numbered.join(gone, no, "left_anti").select(*docs.columns)
