@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroll.llm.common import new_folder, staged
+from tallyroll.llm.common import free_name, new_folder, row_keyed, staged
 
 #: Payloads of fewer bytes are never revisits.
 MIN_BYTES = 0
@@ -60,12 +60,13 @@ def write_pages(pages: DataFrame, folder: str, min_bytes: int = MIN_BYTES) -> No
     The payload is the html in UTF-8, null as empty. Of rows with equal payloads of
     ``min_bytes`` or more the one with the smallest page_id is the response (null ids come
     last, of equal ids the first row), the others are revisits. Null urls have no target
-    URI; line ends in urls are written as percent signs and digits. ``pages`` must be a
-    table read from storage, whose rows keep their numbers when a task runs again.
+    URI; line ends in urls are written as percent signs and digits. Rows of a
+    join must be staged first.
     """
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    numbered = pages.select(
-        F.monotonically_increasing_id().alias("no"), F.col("page_id").cast("long"), F.col("url").cast("string"), html.alias("html")
+    no = free_name(pages, "no")
+    numbered = row_keyed(pages, no).select(
+        F.col(no).alias("no"), F.col("page_id").cast("long"), F.col("url").cast("string"), html.alias("html")
     )
     known = staged(
         numbered.select("no", "page_id", "url", payload_digest(F.col("html")).alias("digest"), F.octet_length("html").alias("bytes")),
