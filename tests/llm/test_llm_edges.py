@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallyroll.llm import chat, graph, html_text, pieces, quality, shards, simhash, tiling, topk, urls, warc
+from tallyroll.llm.common import row_keyed
 from tallyroll.llm.queries import RULES, VOCABULARY
 
 LONG = "lorem ipsum dolor sit amet consectetur " * 6000 + "x" * 50_000
@@ -315,3 +316,26 @@ def test_the_rest_imports_without_these_operators(tmp_path):
     code = "import __spark_entry__ as e; assert 'payslips' in e.queries() and not [q for q in e.queries() if q.startswith('op')]"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": str(tmp_path)})
     assert importlib.util.find_spec("corpus_pipeline")
+
+
+def test_row_keys_do_not_follow_the_splits_of_a_scan(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(0, 4000, numPartitions=3).select("id", F.sha2(F.col("id").cast("string"), 256).alias("h")).write.option("parquet.block.size", 4096).parquet(path)
+
+    def keys(split: str) -> dict:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        rows = row_keyed(spark.read.parquet(path), "key")
+        assert rows.rdd.getNumPartitions() > (3 if split == "8k" else 0)
+        return {r["id"]: r["key"] for r in rows.collect()}
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        small, large = keys("8k"), keys("128m")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert small == large and len(set(small.values())) == 4000
+
+
+def test_rows_that_lie_in_no_file_get_keys_too(spark):
+    rows = row_keyed(spark.range(5).toDF("_metadata"), "key").collect()
+    assert sorted(r["_metadata"] for r in rows) == list(range(5)) and len({r["key"] for r in rows}) == 5
