@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyroll.schemas import PAYROLL_RUNS, TABLES
 from tallyroll.sources.storage import list_names
@@ -57,11 +58,19 @@ def load_jdbc_table(
     **properties: str,
 ) -> DataFrame:
     """A table of a relational database, in the declared column types."""
-    schema = PAYROLL_RUNS if name == "payroll_runs" else TABLES[name][0]
     rows = (
         spark.read.format("jdbc")
         .options(**jdbc_options(url, name, lower, upper, partitions), **properties)
         .load()
     )
+    return declared(rows, name)
+
+
+def declared(rows: DataFrame, name: str) -> DataFrame:
+    """Rows of a relational table in the declared column types. Entries get the
+    month columns of the stored layout, which a database does not keep."""
+    schema = PAYROLL_RUNS if name == "payroll_runs" else TABLES[name][0]
+    if name == "timesheet_entries" and "work_year" not in rows.columns:
+        rows = rows.withColumns({"work_year": F.year("work_date"), "work_month": F.month("work_date")})
     present = [field for field in schema.fields if field.name in rows.columns]
-    return rows.select(*(rows[field.name].cast(field.dataType).alias(field.name) for field in present))
+    return rows.select(*(F.col(field.name).cast(field.dataType).alias(field.name) for field in present))

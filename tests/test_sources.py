@@ -1,10 +1,13 @@
 """CSV scan, table scans and the generator."""
 
+from datetime import date
+
 import pytest
 from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import functions as F
 
 import data
+from tallyroll.operators import hours
 from tallyroll.operators.imports import import_accepted
 from tallyroll.schemas import TABLES
 from tallyroll.sources import tables, timesheets
@@ -94,3 +97,16 @@ def test_jdbc_options_split_the_scan_by_id():
     options = tables.jdbc_options("jdbc:postgresql://host/db", "payslips", 1, 1000, 16)
     assert options["partitionColumn"] == "employee_id"
     assert (options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("1", "1000", "16")
+
+
+def test_entries_of_a_database_can_be_summed(spark):
+    database = spark.createDataFrame(
+        [(1, 1, date(2026, 8, 3), 8.0), (2, 1, date(2026, 8, 4), 7.5), (3, 1, date(2026, 9, 1), 6.0)],
+        "id bigint, employee_id bigint, work_date date, hours_worked double",
+    )
+    entries = tables.declared(database, "timesheet_entries")
+    assert {"work_year", "work_month"} <= set(entries.columns)
+    assert dict(entries.dtypes)["hours_worked"] == "decimal(4,2)"
+    runs = spark.createDataFrame([(1, 8, 2026)], "id bigint, period_month int, period_year int")
+    found = hours.entries_for_runs(runs, entries)
+    assert rows(found.select("work_date")) == [(date(2026, 8, 3),), (date(2026, 8, 4),)]
