@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -43,93 +44,189 @@ MAIN = {"article", "main"}
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(?=[a-zA-Z/])[^>]*(?:>|\Z)", re.S
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""")
 _WORDS = re.compile(r"[a-z]+")
+#: First parts of class names that tell of a page's layout, and last parts that name a box for the first.
+_LAYOUT = set("has no with without is not hide show".split())
+_BOX = set("slot box block container wrapper wrap list links bar section buttons unit item items form inner".split())
+#: Elements of a head, and elements that end an open one of the same kind.
+_HEAD = set("base link meta noscript script style template title".split())
+_ENDS = {"li": {"li"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+_SCOPE = set("ul ol dl table select".split())
 
 
 def _is_boilerplate(name: str, attributes: str) -> bool:
+    """Whether the element's tag, or a whole class, id or role of it, or the last part of one, names boilerplate."""
     if name in BOILERPLATE:
         return True
     if name in ("html", "body") or name in MAIN:
         return False
-    return any(
-        w in BOILERPLATE_WORDS
-        for m in _ATTRIBUTE.finditer(attributes)
-        for w in _WORDS.findall((m[2] or m[3] or m[4] or "").lower())
-    )
-
-
-class _Lines:
-    """The lines of a page: text, characters outside links, and whether the line lies in an article."""
-
-    def __init__(self):
-        self.lines: list[tuple[str, int, bool]] = []
-        self.text: list[str] = []
-        self.plain: list[str] = []
-
-    def end(self, inside: bool) -> None:
-        text = " ".join(html.unescape("".join(self.text)).split())
-        if text:
-            self.lines.append((text, len("".join("".join(self.plain).split())), inside))
-        self.text.clear()
-        self.plain.clear()
-
-    def gap(self, inside: bool) -> None:
-        """As many empty lines as a window has: what was taken out separates blocks."""
-        self.end(inside)
-        self.lines.extend([("", 0, inside)] * WINDOW)
-
-
-def _stripped(page: str) -> list[tuple[str, int, bool]]:
-    out = _Lines()
-    at = links = mains = 0
-    skipped = ""  # the element left out now, and how often it is open
-    depth = 0
+    for m in _ATTRIBUTE.finditer(attributes):
+        if m[1].lower() in ("class", "id", "role"):
+            for token in (m[2] or m[3] or m[4] or "").lower().split():
+                parts = _WORDS.findall(token)
+                if not parts or parts[0] in _LAYOUT:
+                    continue
+                if parts[-1] in BOILERPLATE_WORDS or parts[0] in BOILERPLATE_WORDS and all(w in _BOX for w in parts[1:]):
+                    return True
+    return False
+
+
+class _Element:
+    """An element: what it is, how much text it holds, and where in the page it lies."""
+
+    __slots__ = ("name", "parent", "boilerplate", "size", "main", "closed", "left_out", "block", "inside", "linked")
+
+    def __init__(self, name: str, parent: _Element | None, boilerplate: bool):
+        self.name, self.parent, self.boilerplate = name, parent, boilerplate
+        self.size, self.main, self.closed, self.left_out = 0, False, False, False
+        own = parent is None or name in BLOCKS and name not in ("br", "hr")
+        self.block = self if own else parent.block
+        self.inside = name in MAIN or parent is not None and parent.inside
+        self.linked = name == "a" or not own and parent.linked
+
+
+def _parsed(page: str) -> tuple[list[tuple[_Element, str | None]], list[_Element]]:
+    """Texts in order with the element that holds each (None: the element starts or ends there), and all elements."""
+    root = _Element("", None, False)
+    stack, events, elements = [root], [], []
+    opened = Counter()
+    at = 0
+
+    def text(upto: int) -> None:
+        if upto > at:
+            if stack[-1].name == "head" and page[at:upto].strip():
+                end(len(stack) - 1)
+            events.append((stack[-1], page[at:upto]))
+            stack[-1].size += len("".join(page[at:upto].split()))
+
+    def end(n: int) -> None:
+        """Ends all elements from place ``n`` of the stack on."""
+        while len(stack) > n:
+            opened[stack[-1].name] -= 1
+            events.append((stack.pop(), None))
+
     for m in _TOKEN.finditer(page):
         if m.start() < at:
             continue
-        if not skipped and m.start() > at:
-            out.text.append(page[at : m.start()])
-            if not links:
-                out.plain.append(page[at : m.start()])
+        text(m.start())
         at = m.end()
         name, closing = (m[2] or "").lower(), bool(m[1])
         if not name:
             continue
-        if skipped:
-            # An open paragraph ends with the next block, which is no part of it.
-            if skipped == "p" and name in BLOCKS and name != "br" and not (closing and name == "p"):
-                skipped = ""
+        if closing:
+            for n in range(len(stack) - 1 if opened[name] else 0, 0, -1):
+                if stack[n].name == name:
+                    stack[n].closed = True
+                    end(n)
+                    break
+                if name not in BLOCKS and name not in DROPPED and stack[n].name in BLOCKS:
+                    break
             else:
-                if name == skipped:
-                    depth += -1 if closing else 1
-                    if depth == 0:
-                        skipped = ""
-                continue
-        if not closing and name in DROPPED:
-            if name in ("script", "style", "textarea", "title"):  # raw text up to the end tag
-                end = re.compile(f"</{name}[^>]*>?", re.I).search(page, at)
-                at = end.end() if end else len(page)
-            elif not m[3].endswith("/"):
-                skipped, depth = name, 1
+                if name in BLOCKS:
+                    events.append((_Element(name, stack[-1], False), None))
             continue
-        if not closing and name not in VOID and _is_boilerplate(name, m[3]):
-            out.gap(mains > 0)
-            skipped, depth = name, 1
+        if name in ("script", "style", "textarea", "title"):  # raw text up to the end tag
+            found = re.compile(f"</{name}[^>]*>?", re.I).search(page, at)
+            at = found.end() if found else len(page)
+            continue
+        if stack[-1].name == "head" and name not in _HEAD:
+            end(len(stack) - 1)
+        if opened["p"] and name in BLOCKS and name != "br":  # an open paragraph ends with the next block, which is no part of it
+            for n in range(len(stack) - 1, 0, -1):
+                if stack[n].name == "p":
+                    end(n)
+                    break
+                if stack[n].name in BLOCKS:
+                    break
+        if name in _ENDS:
+            for n in range(len(stack) - 1, 0, -1):
+                if stack[n].name in _ENDS[name]:
+                    end(n)
+                    break
+                if stack[n].name in _SCOPE:
+                    break
+        if name == "a" and opened["a"]:  # a link ends the one that is open
+            for n in range(len(stack) - 1, 0, -1):
+                if stack[n].name == "a":
+                    end(n)
+                    break
+                if stack[n].name in BLOCKS:
+                    break
+        one = _Element(name, stack[-1], name not in VOID and _is_boilerplate(name, m[3]))
+        elements.append(one)
+        events.append((one, None))
+        if name in VOID or name in DROPPED and m[3].endswith("/"):
+            one.closed = True
+        else:
+            stack.append(one)
+            opened[name] += 1
+    text(len(page))
+    end(1)
+    return events, elements
+
+
+def _marked(elements: list[_Element]) -> None:
+    """Decides which elements are left out: never one that holds an article.
+
+    On a page without article, one that holds most of the text stays too, unless its tag says what it is and it is closed.
+    """
+    for e in reversed(elements):  # children come after their parents
+        e.main |= e.name in MAIN and e.size > 0
+        if e.name in DROPPED and e.closed:
             continue
-        if name == "a":
-            links = 0 if closing else 1
-        elif name in BLOCKS:
-            out.end(mains > 0)
-            links = 0
-            if name in MAIN:
-                mains = max(mains + (-1 if closing else 1), 0)
-    if not skipped and at < len(page):
-        out.text.append(page[at:])
-        if not links:
-            out.plain.append(page[at:])
-    out.end(mains > 0)
-    return out.lines
+        e.parent.size += e.size
+        e.parent.main |= e.main
+    marked = any(e.main for e in elements)
+    whole = elements[0].parent.size if elements else 0
+    for e in elements:
+        most = 2 * e.size > whole and whole > 0
+        if e.parent.left_out:
+            e.left_out = True
+        elif e.name in DROPPED:
+            e.left_out = e.closed or not (e.main or most)
+        elif e.boilerplate:
+            e.left_out = not e.main and (marked or not most or e.closed and e.name in BOILERPLATE)
+
+
+class _Line:
+    """A line: its text, characters outside links, its block, that block's parent, and whether it lies in an article."""
+
+    __slots__ = ("text", "plain", "block", "parent", "inside")
+
+    def __init__(self, text: str, plain: int, block: _Element, inside: bool):
+        self.text, self.plain, self.block, self.inside = text, plain, block, inside
+        self.parent = block.parent if block.name in BLOCKS else block
+
+
+def _stripped(page: str) -> list[_Line]:
+    events, elements = _parsed(page)
+    _marked(elements)
+    lines: list[_Line] = []
+    text: list[str] = []
+    plain: list[str] = []
+    block = None
+
+    def end() -> None:
+        joined = " ".join(html.unescape("".join(text)).split())
+        if joined:
+            lines.append(_Line(joined, len("".join("".join(plain).split())), block, block.inside))
+        text.clear()
+        plain.clear()
+
+    for e, part in events:
+        if part is None:
+            if e.name in BLOCKS or e.left_out and e.boilerplate:
+                end()
+                block = None
+        elif not e.left_out:
+            if block is None and part.strip():
+                block = e.block
+            text.append(part)
+            if not e.linked:
+                plain.append(part)
+    end()
+    return lines
 
 
 def main_text(page: str | None) -> str:
@@ -140,9 +237,9 @@ def main_text(page: str | None) -> str:
     window's sum.
     """
     lines = _stripped(page or "")
-    marked = any(inside and text for text, _, inside in lines)
+    marked = any(x.inside for x in lines)
     # Inside an article, text in links belongs to it.
-    counts = [(max(n, 1) if marked and text else n) if inside or not marked else 0 for text, n, inside in lines]
+    counts = [(max(x.plain, 1) if marked else x.plain) if x.inside or not marked else 0 for x in lines]
     sums = [sum(counts[i : i + WINDOW]) for i in range(len(counts))]
     least = 1 if marked else max(SURGE * max(sums, default=0), 1)
     kept: list[str] = []
@@ -155,7 +252,7 @@ def main_text(page: str | None) -> str:
         while dive < len(counts) and sums[dive] > 0:
             dive += 1
         if max(sums[i:dive]) >= least:
-            kept += [text for (text, _, inside), n in zip(lines[i:dive], counts[i:dive], strict=True) if text and (n or not marked)]
+            kept += [x.text for x, n in zip(lines[i:dive], counts[i:dive], strict=True) if n or not marked]
         i = dive
     return " ".join(kept)
 
