@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Lines of a window; share of the largest window's sum from which a window is a surge.
-WINDOW, SURGE = 3, 0.2
+#: Lines of a window; characters of a window from which it is a surge.
+WINDOW, SURGE = 3, 20
 #: Elements whose content is no text of the page.
 DROPPED = set("script style noscript template head title svg math iframe object canvas select option textarea button".split())
 #: Elements that hold something other than the article.
@@ -53,6 +53,7 @@ _BOX = set("slot box block container wrapper wrap list links bar section buttons
 _HEAD = set("base link meta noscript script style template title".split())
 _ENDS = {"li": {"li"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _SCOPE = set("ul ol dl table select".split())
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 
 def _is_boilerplate(name: str, attributes: str) -> bool:
@@ -232,29 +233,42 @@ def _stripped(page: str) -> list[_Line]:
 def main_text(page: str | None) -> str:
     """Main text of a page: white space is one space, lines are joined by one space; empty if there is none.
 
-    If the page has an article or main element, lines outside it count nothing and every
-    surge inside it is kept. Otherwise surges are kept that reach SURGE of the largest
-    window's sum.
+    Regions of lines end where a window's sum falls to nothing, and where an article or
+    main element starts or ends. One is kept if a window of it reaches SURGE characters,
+    or the largest sum of the page if that is less. Inside an article or main element
+    every line counts, so that all of its regions are kept; lines outside count nothing then. Headings and paragraphs
+    that are only links stay beside kept text of the same parent.
     """
     lines = _stripped(page or "")
     marked = any(x.inside for x in lines)
     # Inside an article, text in links belongs to it.
-    counts = [(max(x.plain, 1) if marked else x.plain) if x.inside or not marked else 0 for x in lines]
-    sums = [sum(counts[i : i + WINDOW]) for i in range(len(counts))]
-    least = 1 if marked else max(SURGE * max(sums, default=0), 1)
-    kept: list[str] = []
+    counts = [max(x.plain, 1) if x.inside else 0 if marked else x.plain for x in lines]
+    sums = [0] * len(lines)
+    for i, x in enumerate(lines):
+        for j in range(i, min(i + WINDOW, len(lines))):
+            if lines[j].inside != x.inside:
+                break
+            sums[i] += counts[j]
+    least = min(SURGE, max(sums, default=0))
+    kept = [False] * len(lines)
     i = 0
-    while i < len(counts):
+    while i < len(lines):
         if counts[i] == 0:
             i += 1
             continue
         dive = i
-        while dive < len(counts) and sums[dive] > 0:
+        while dive < len(lines) and sums[dive] > 0 and lines[dive].inside == lines[i].inside:
             dive += 1
-        if max(sums[i:dive]) >= least:
-            kept += [x.text for x, n in zip(lines[i:dive], counts[i:dive], strict=True) if n or not marked]
+        if lines[i].inside or max(sums[i:dive]) >= least:
+            kept[i:dive] = [True] * (dive - i)
         i = dive
-    return " ".join(kept)
+    for order in (range(1, len(lines)), range(len(lines) - 2, -1, -1)):
+        step = 1 if order.step > 0 else -1
+        for i in order:
+            beside, x = lines[i - step], lines[i]
+            if not kept[i] and kept[i - step] and x.inside == marked and (x.block.name in HEADINGS or x.block.name == "p" and x.parent is beside.parent):
+                kept[i] = True
+    return " ".join(x.text for x, k in zip(lines, kept, strict=True) if k)
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -11,6 +11,23 @@ SF = "/root/testdata/sf0.01"
 TEXT = "word " * 60
 
 
+# Pages without article or main
+
+
+def test_a_long_block_does_not_decide_for_short_ones():
+    page = f"<div><p>{'a' * 300}</p><div class=ad>x</div><p>{'b ' * 5000}</p><p>End.</p></div>"
+    assert main_text(page) == " ".join(["a" * 300, *["b"] * 5000, "End."])
+    page = f"<body><nav><a href=1>Home</a></nav><h1>Title</h1><div class=ad>Buy</div><p>{TEXT}</p><p><a href=2>Source</a></p></body>"
+    assert main_text(page) == f"Title {TEXT}Source"
+
+
+def test_given_pages_without_article_or_main():
+    pages = duckdb.sql(f"SELECT html FROM '{SF}/pages.parquet'").fetchall()
+    bare = [re.sub(r"<(/?)(?:article|main)\b", r"<\1div", p) for (p,) in pages]
+    assert any(a != p for a, (p,) in zip(bare, pages, strict=True))
+    assert [main_text(b) for b in bare] == [main_text(p) for (p,) in pages]
+
+
 # Class names and elements that are left open
 
 
