@@ -236,20 +236,21 @@ def main_text(page: str | None) -> str:
     Regions of lines end where a window's sum falls to nothing, and where an article or
     main element starts or ends. One is kept if a window of it reaches SURGE characters,
     or the largest sum of the page if that is less. Inside an article or main element
-    every line counts, so that all of its regions are kept; lines outside count nothing then. Headings and paragraphs
+    every line counts, so that all of its regions are kept; regions outside are chosen by
+    the same sums, twice SURGE if the page has such an element. Headings and paragraphs
     that are only links stay beside kept text of the same parent.
     """
     lines = _stripped(page or "")
     marked = any(x.inside for x in lines)
     # Inside an article, text in links belongs to it.
-    counts = [max(x.plain, 1) if x.inside else 0 if marked else x.plain for x in lines]
+    counts = [max(x.plain, 1) if x.inside else x.plain for x in lines]
     sums = [0] * len(lines)
     for i, x in enumerate(lines):
         for j in range(i, min(i + WINDOW, len(lines))):
             if lines[j].inside != x.inside:
                 break
             sums[i] += counts[j]
-    least = min(SURGE, max(sums, default=0))
+    least = min(SURGE * (2 if marked else 1), max(sums, default=0))
     kept = [False] * len(lines)
     i = 0
     while i < len(lines):
@@ -266,7 +267,7 @@ def main_text(page: str | None) -> str:
         step = 1 if order.step > 0 else -1
         for i in order:
             beside, x = lines[i - step], lines[i]
-            if not kept[i] and kept[i - step] and x.inside == marked and (x.block.name in HEADINGS or x.block.name == "p" and x.parent is beside.parent):
+            if not kept[i] and kept[i - step] and (x.block.name in HEADINGS or x.block.name == "p" and x.parent is beside.parent):
                 kept[i] = True
     return " ".join(x.text for x, k in zip(lines, kept, strict=True) if k)
 

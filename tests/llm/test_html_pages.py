@@ -28,6 +28,14 @@ def test_given_pages_without_article_or_main():
     assert [main_text(b) for b in bare] == [main_text(p) for (p,) in pages]
 
 
+# Teasers
+
+
+def test_articles_do_not_hide_text_outside_of_them():
+    page = f"<div id=content><p>{TEXT}</p></div><article><h2><a href=1>More news</a></h2><p>Teaser.</p></article>"
+    assert main_text(page).startswith(TEXT) and "Teaser." in main_text(page)
+
+
 # Class names and elements that are left open
 
 
