@@ -86,4 +86,42 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
 FROM firsts
 """
 
-ORACLE = {"op2_chat": OP2, "op7_shards": OP7, "op9_topk": OP9, "op10_warc": OP10}
+OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]', chr(10), 'g'), chr(10))) AS piece
+  FROM documents
+), lists AS (
+  SELECT lang, regexp_extract_all(piece, '[^ \x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists WHERE len(w) > 0), range(1, 5) r(k)
+  WHERE i + k - 1 <= len(w)
+), counts AS (
+  SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL
+), sizes AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 30
+), inside AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(f) AS longer
+  FROM candidates, range(2, 4) s(m), range(1, 4) p(i) WHERE m < k AND i + m - 1 <= k GROUP BY ALL
+), stays AS (
+  SELECT c.* FROM candidates c LEFT JOIN inside i ON c.lang = i.lang AND c.phrase = i.phrase
+  WHERE i.longer IS NULL OR 100 * i.longer < 80 * c.f
+), cuts AS (
+  SELECT s.lang, s.phrase, s.f AS a, h AS cut, array_to_string(w[1:h], ' ') AS head, array_to_string(w[h + 1:k], ' ') AS tail
+  FROM stays s, range(1, 4) r(h) WHERE h < k
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, CAST(CAST(2000000 AS HUGEINT) * c.a // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.head JOIN counts y ON y.lang = c.lang AND y.phrase = c.tail
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS no FROM scored
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM best WHERE no = 1
+)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes ON sizes.lang = ranked.lang WHERE rank <= 2000
+"""
+
+ORACLE = {"op2_chat": OP2, "op7_shards": OP7, "op9_topk": OP9, "op10_warc": OP10, "op11_phrases": OP11}
