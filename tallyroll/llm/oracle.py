@@ -124,4 +124,35 @@ WITH pieces AS (
 SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes ON sizes.lang = ranked.lang WHERE rank <= 2000
 """
 
-ORACLE = {"op2_chat": OP2, "op7_shards": OP7, "op9_topk": OP9, "op10_warc": OP10, "op11_phrases": OP11}
+OP12 = r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5('mix/' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) AS place
+  FROM documents
+), sums AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS s FROM sized GROUP BY source
+), weighed AS (
+  SELECT source, s, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM sums
+), ordered AS (
+  SELECT *, row_number() OVER (ORDER BY s * (6 // w), source NULLS LAST) AS no FROM weighed
+), bounds AS (
+  SELECT *, (SELECT sum(s) FROM ordered) - coalesce(sum(3 * s) OVER (ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+    sum(w) OVER (ORDER BY no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight
+  FROM ordered
+), level AS (
+  SELECT arg_min(rest, no) AS rest, arg_min(weight, no) AS weight, min(no) AS no FROM bounds WHERE 3 * s * weight >= w * rest
+), aims AS (
+  SELECT source, s, w, CASE WHEN b.no < l.no THEN 3 * s / 1 ELSE w * l.rest / l.weight END AS target,
+    CASE WHEN b.no < l.no THEN 3 * s ELSE (2 * w * l.rest + l.weight) // (2 * l.weight) END AS quota
+  FROM bounds b, level l
+), ran AS (
+  SELECT d.*, a.s, a.target, a.quota,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM sized d JOIN aims a ON d.source IS NOT DISTINCT FROM a.source
+)
+SELECT doc_id, size, s AS source_size, CAST(target AS DOUBLE) AS target,
+  CAST(CASE WHEN s = 0 THEN 0 ELSE size * (quota // s + CASE WHEN 2 * before + size <= 2 * (quota % s) THEN 1 ELSE 0 END) END AS BIGINT) AS taken
+FROM ran
+"""
+
+ORACLE = {"op2_chat": OP2, "op7_shards": OP7, "op9_topk": OP9, "op10_warc": OP10, "op11_phrases": OP11, "op12_mixing": OP12}

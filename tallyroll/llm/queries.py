@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroll.llm import chat, html_text, phrases, pieces, quality, shards, simhash, tiling, topk, urls, warc
+from tallyroll.llm import chat, html_text, mixing, phrases, pieces, quality, shards, simhash, tiling, topk, urls, warc
 from tallyroll.llm.common import read_table
 from tallyroll.llm.oracle import ORACLE  # noqa: F401
 
@@ -77,9 +77,14 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read_table(spark, sf_dir, "documents"))
 
 
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_by_source(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_sentencepiece, op2_chat, op3_urls, op4_quality, op5_html, op6_simhash, op7_shards, op8_tiling, op9_topk, op10_warc, op11_phrases
+        op1_sentencepiece, op2_chat, op3_urls, op4_quality, op5_html, op6_simhash, op7_shards, op8_tiling, op9_topk, op10_warc, op11_phrases,
+        op12_mixing
     )
 }
