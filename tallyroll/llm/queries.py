@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroll.llm import chat, html_text, mixing, phrases, pieces, quality, shards, simhash, tiling, topk, urls, warc
+from tallyroll.llm import alignment, chat, html_text, mixing, phrases, pieces, quality, shards, simhash, tiling, topk, urls, warc
 from tallyroll.llm.common import read_table
 from tallyroll.llm.oracle import ORACLE  # noqa: F401
 
-#: The public vocabulary that ``op1_sentencepiece`` reads.
+#: The public vocabulary that ``op1_sentencepiece`` reads, and the one that ``op13_alignment`` aligns with it.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 
 #: The rules of ``op3_urls``.
 RULES = [
@@ -81,10 +82,14 @@ def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_by_source(read_table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.token_alignment(read_table(spark, sf_dir, "documents"), BYTE_LEVEL, VOCABULARY)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_chat, op3_urls, op4_quality, op5_html, op6_simhash, op7_shards, op8_tiling, op9_topk, op10_warc, op11_phrases,
-        op12_mixing
+        op12_mixing, op13_alignment
     )
 }
