@@ -7,7 +7,8 @@ into stretches; the two tokens over a stretch are linked, and a cut of both ends
 
 Neither tokenizer has tokens that reach over a space behind a character that is not white space, so a text is cut there
 into words first, and each distinct word is aligned once for a block of documents. A block is stored as one
-row. The counts of its id pairs come by a join, so no table of pairs is ever held as a whole.
+row. The counts of id pairs are bounded by the vocabularies, not by the documents; they are broadcast if they are few
+and reach the blocks by a join if not.
 """
 
 from __future__ import annotations
@@ -15,9 +16,10 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache, partial
-from itertools import chain
+from itertools import chain, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -31,8 +33,11 @@ from tallyroll.llm.common import staged
 #: Words and documents of a block, and distinct words that a worker keeps from block to block.
 BLOCK_WORDS, BLOCK_DOCS, KEPT_WORDS = 1_000_000, 20_000, 400_000
 #: Words that are encoded at once.
-BATCH = 4_096
+BATCH = 2_048
+#: Id pairs that are broadcast, of 24 bytes each. With more the counts of each block come by a join.
+PAIR_LIMIT = 2_000_000
 _CUT = re.compile("(?<=[^\\s▁]) (?=.)", re.DOTALL)
+_CLOSED = re.compile("[^\\s▁]\\Z")
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 
 Batches = Iterator[pa.RecordBatch]
@@ -77,8 +82,8 @@ def load(path_a: str, path_b: str) -> Pair:
 
 
 def words_of(text: str) -> list[str]:
-    """The words of a text with a space before it; each starts with a space, and both tokenizers cut before it."""
-    return [f" {x}" for x in _CUT.split(text)]
+    """The words of a text. A space stands before each, also the first, and both tokenizers cut before it."""
+    return _CUT.split(text)
 
 
 class Spans(NamedTuple):
@@ -89,58 +94,50 @@ class Spans(NamedTuple):
     counts: np.ndarray
 
 
-def _refined(coarse: np.ndarray, sure: np.ndarray, sizes: np.ndarray, counts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ends of the tokens, and which words have tokens that do not add up to them.
+def _refined(ids: np.ndarray, coarse: np.ndarray, sure: np.ndarray, sizes_of: np.ndarray, words: np.ndarray) -> tuple[Spans, np.ndarray]:
+    """Tokens with their ends, and which words have tokens that do not add up to them.
 
-    ``coarse`` has ends in bytes of a word; those that are ``sure`` stand, and between them
-    the sizes of the decoded tokens are added up from the last sure one.
+    The ``coarse`` ends that are ``sure`` stand. Between them the sizes of the decoded tokens are added up
+    from the last sure one.
     """
-    owner = np.repeat(np.arange(len(counts)), counts)
+    sizes, at = sizes_of[ids], np.arange(len(ids))
     total = np.cumsum(sizes)
-    before = np.concatenate(([0], np.cumsum(counts)))[:-1]
-    base = np.concatenate(([0], total))[before]
-    decoded = total - base[owner]
-    bad = np.zeros(len(counts), bool)
-    sums = np.bincount(owner, sizes, len(counts)).astype(np.int64)
-    bad |= sums != words
-    bad[owner[sure & (coarse != decoded)]] = True
-    start = np.concatenate(([0], np.cumsum(words)))[:-1]
-    return start[owner] + np.where(sure, coarse, decoded), bad
-
-
-def _of_a(pair: Pair, words: list[str], sizes: np.ndarray) -> tuple[Spans, np.ndarray]:
-    found = pair.a.encode_batch(words, add_special_tokens=False)
-    counts = np.fromiter(map(len, found), np.int64, len(found))
-    n = int(counts.sum())
-    ids = np.fromiter(chain.from_iterable(x.ids for x in found), np.int64, n)
-    spans = np.fromiter(chain.from_iterable(chain.from_iterable(x.offsets for x in found)), np.int64, 2 * n).reshape(-1, 2)
+    last = np.maximum.accumulate(np.where(sure, at, -1))
+    off = np.where(last >= 0, (coarse - total)[last], 0)
+    ends = total + off
+    stops = np.cumsum(words)
+    owner = np.minimum(np.searchsorted(stops, ends), max(len(words) - 1, 0))
+    counts = np.bincount(owner, minlength=len(words))
+    bad = np.bincount(owner, sizes, len(words)).astype(np.int64) != words
+    # The first token of a sure span must fit behind the last one.
+    wrong = np.diff(ends, prepend=0) != sizes
+    bad[owner[wrong]] = True
+    return Spans(ids, ends, counts), bad
+
+
+def _of_a(pair: Pair, words: list[bytes], sizes: np.ndarray) -> tuple[Spans, np.ndarray]:
+    """Tokens of words that follow one another as one text."""
+    found = pair.a.encode(b"".join(words).decode(), add_special_tokens=False)
+    n = len(found)
+    ids = np.array(found.ids, np.int64)
+    spans = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * n).reshape(-1, 2)
     # Offsets count characters: the bytes before a character come from the lead bytes of the text.
-    text = np.frombuffer("".join(words).encode(), np.uint8)
-    leads = np.flatnonzero((text & 0xC0) != 0x80)
-    chars = np.fromiter(map(len, words), np.int64, len(words))
-    owner = np.repeat(np.arange(len(words)), counts)
-    first = (np.cumsum(chars) - chars)[owner]
-    place = np.append(leads, len(text))
-    coarse = place[first + spans[:, 1]] - (np.cumsum(sizes) - sizes)[owner]
+    text = np.frombuffer(b"".join(words), np.uint8)
+    place = np.append(np.flatnonzero((text & 0xC0) != 0x80), len(text))
     # A token whose last character the next one shares ends inside of it.
     shared = np.zeros(n, bool)
-    shared[:-1] = (owner[1:] == owner[:-1]) & (spans[1:, 0] < spans[:-1, 1])
-    ends, bad = _refined(coarse, ~shared, pair.sizes_a[ids], counts, sizes)
-    return Spans(ids, ends, counts), bad
+    shared[:-1] = spans[1:, 0] < spans[:-1, 1]
+    return _refined(ids, place[spans[:, 1]], ~shared, pair.sizes_a, sizes)
 
 
-def _of_b(pair: Pair, words: list[str], sizes: np.ndarray) -> tuple[Spans, np.ndarray]:
-    # The model adds the space that each word starts with.
-    found = [x.pieces for x in pair.b.encode([w[1:] for w in words], return_type="proto", num_threads=1)]
-    counts = np.fromiter(map(len, found), np.int64, len(found))
-    n = int(counts.sum())
-    ids, ends = np.fromiter(chain.from_iterable((p.id, p.end) for x in found for p in x), np.int64, 2 * n).reshape(-1, 2).T
+def _of_b(pair: Pair, words: list[bytes], sizes: np.ndarray) -> tuple[Spans, np.ndarray]:
+    # The model adds the space that the first word starts with.
+    found = pair.b.encode(b"".join(words)[1:].decode(), return_type="proto").pieces
+    n = len(found)
+    ids = np.fromiter((p.id for p in found), np.int64, n)
+    ends = np.fromiter((p.end for p in found), np.int64, n)
     # A span starts where the last one ends; an empty one is the added space alone or a fallback byte inside of a character.
-    first = np.zeros(n, bool)
-    first[(np.cumsum(counts) - counts)[counts > 0]] = True
-    last = np.where(first, 0, np.concatenate(([0], ends[:-1])) if n else ends)
-    ends, bad = _refined(ends + 1, ends > last, pair.sizes_b[ids], counts, sizes)
-    return Spans(ids, ends, counts), bad
+    return _refined(ids, ends + 1, ends > np.concatenate(([0], ends[:-1])) if n else ends > 0, pair.sizes_b, sizes)
 
 
 class Aligned(NamedTuple):
@@ -156,78 +153,94 @@ class Aligned(NamedTuple):
 
 
 def aligned(pair: Pair, words: list[str]) -> Aligned:
-    """Aligns words that all start with a space. A link is ``a << 32 | b``."""
-    encoded = [w.encode() for w in words]
-    sizes = np.fromiter(map(len, encoded), np.int64, len(words))
+    """Aligns words, each with a space before it. A link is ``a << 32 | b``.
+
+    They are encoded as one text. A word at whose end white space could join that of the next one is
+    encoded alone, and so is each word of a text that does not add up.
+    """
+    encoded = [b" " + w.encode() for w in words]
+    closed = np.fromiter((_CLOSED.search(w) is not None for w in words), bool, len(words))
+    parts = [(np.flatnonzero(closed), _aligned(pair, [encoded[i] for i in np.flatnonzero(closed).tolist()]))] if closed.any() else []
+    alone = np.flatnonzero(~closed).tolist()
+    if parts and parts[0][1].bad.any():
+        alone, parts = list(range(len(words))), []
+    parts += [(np.array([i]), _aligned(pair, [encoded[i]])) for i in alone]
+    order = np.argsort(np.concatenate([at for at, _ in parts]))
+    every = _joined([x for _, x in parts])
+    starts = np.cumsum(every.n_links) - every.n_links
+    return Aligned(
+        *(x[order] for x in (every.n_a, every.n_b, every.n_groups, every.bad)), [every.groups[i] for i in order.tolist()],
+        every.n_links[order], every.links[gathered(starts[order], every.n_links[order])],
+    )
+
+
+def _joined(parts: list[Aligned]) -> Aligned:
+    columns = zip(*parts, strict=True)
+    return Aligned(*(np.concatenate(x) if isinstance(x[0], np.ndarray) else list(chain(*x)) for x in columns))
+
+
+def _aligned(pair: Pair, words: list[bytes]) -> Aligned:
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
     a, bad_a = _of_a(pair, words, sizes)
     b, bad_b = _of_b(pair, words, sizes)
-    bad = bad_a | bad_b
-    text = b"".join(encoded)
+    bad, n = bad_a | bad_b, len(words)
+    text = b"".join(words)
     for spans, tokens in ((a, pair.bytes_a), (b, pair.bytes_b)):
-        if b"".join(map(tokens.__getitem__, spans.ids.tolist())) != text:
-            ends = np.cumsum(spans.counts)
-            for i, (x, y) in enumerate(zip((ends - spans.counts).tolist(), ends.tolist(), strict=True)):
-                bad[i] |= b"".join(map(tokens.__getitem__, spans.ids[x:y].tolist())) != encoded[i]
+        bad |= b"".join(map(tokens.__getitem__, spans.ids.tolist())) != text
     if bad.any():
-        a, b = (_without(x, bad) for x in (a, b))
-        sizes = np.where(bad, 0, sizes)
-        a, b = (Spans(x.ids, _shifted(x, sizes, words, bad, encoded), x.counts) for x in (a, b))
-    cuts = np.union1d(a.ends, b.ends)
+        none = np.zeros(n, np.int64)
+        return Aligned(none, none, none, np.ones(n, bool), [""] * n, none, none[:0])
+    cuts = _distinct(np.concatenate((a.ends, b.ends)))
     over_a, over_b = np.searchsorted(a.ends, cuts), np.searchsorted(b.ends, cuts)
     stops = np.cumsum(sizes)
-    word = np.searchsorted(stops, cuts)
-    both = np.isin(a.ends, b.ends, assume_unique=True)
-    both_b = np.isin(b.ends, a.ends, assume_unique=True)
+    common = np.intersect1d(a.ends, b.ends, assume_unique=True)
     return Aligned(
-        a.counts, b.counts, np.bincount(np.searchsorted(stops, a.ends[both]), minlength=len(words)), bad,
-        _group_texts(a, b, both, both_b, len(words)), np.bincount(word, minlength=len(words)), (a.ids[over_a] << 32) | b.ids[over_b],
+        a.counts, b.counts, np.bincount(np.searchsorted(stops, common), minlength=n), bad, _group_texts(a, b, common, n),
+        np.bincount(np.searchsorted(stops, cuts), minlength=n), (a.ids[over_a] << 32) | b.ids[over_b],
     )
 
 
-def _without(x: Spans, bad: np.ndarray) -> Spans:
-    keep = ~bad[np.repeat(np.arange(len(bad)), x.counts)]
-    return Spans(x.ids[keep], x.ends[keep], np.where(bad, 0, x.counts))
-
+@lru_cache(maxsize=1)
+def _names(top: int) -> list[str]:
+    """Ids as text before each of ``,``, ``|``, ``;`` and the end of a word."""
+    return [f"{i}{mark}" for mark in (",", "|", ";", "") for i in range(top)]
 
-def _shifted(x: Spans, sizes: np.ndarray, words: list[str], bad: np.ndarray, encoded: list[bytes]) -> np.ndarray:
-    """Ends after the words that are left out are taken from the front of those behind them."""
-    gone = np.cumsum(np.where(bad, np.fromiter(map(len, encoded), np.int64, len(words)), 0))
-    return x.ends - np.repeat(gone, x.counts)
 
-
-def _group_texts(a: Spans, b: Spans, both_a: np.ndarray, both_b: np.ndarray, n: int) -> list[str]:
+def _group_texts(a: Spans, b: Spans, common: np.ndarray, n: int) -> list[str]:
     """The groups of each word as ``a1,a2|b1;a3|b2``."""
-    sides = []
-    for x, both in ((a, both_a), (b, both_b)):
-        ids = list(map(str, x.ids.tolist()))
-        ends = np.flatnonzero(both) + 1
-        sides.append([",".join(ids[i:j]) for i, j in zip([0, *ends.tolist()], ends.tolist(), strict=False)])
-    groups = list(map("|".join, zip(*sides, strict=True)))
-    counts = np.bincount(np.repeat(np.arange(n), a.counts)[both_a], minlength=n)
-    ends = np.cumsum(counts).tolist()
-    return [";".join(groups[i:j]) for i, j in zip([0, *ends], ends, strict=False)]
+    top = 1 << 17
+    kinds, places = [], []
+    for side, x in enumerate((a, b)):
+        group = np.searchsorted(common, x.ends)
+        last = common[group] == x.ends
+        kind = np.where(last, 1 + side, 0)
+        if side:
+            kind[np.cumsum(x.counts)[x.counts > 0] - 1] = 3
+        kinds.append(x.ids + kind * top)
+        places.append(2 * group + side)
+    order = np.argsort(np.concatenate(places), kind="stable")
+    texts = list(map(_names(top).__getitem__, np.concatenate(kinds)[order].tolist()))
+    ends = np.cumsum(a.counts + b.counts).tolist()
+    return ["".join(texts[i:j]) for i, j in zip([0, *ends], ends, strict=False)]
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values.sort()
+    return values[np.diff(values, prepend=-1) != 0]
 
 
 class _Lexicon:
     """Words aligned so far, by number."""
 
     def __init__(self, pair: Pair) -> None:
-        self.pair, self.numbers, self.new = pair, {}, []
-        self.parts: list[Aligned] = []
-
-    def number(self, word: str) -> int:
-        found = self.numbers.get(word)
-        if found is None:
-            found = self.numbers[word] = len(self.numbers)
-            self.new.append(word)
-        return found
+        self.pair, self.numbers, self.parts, self.done = pair, defaultdict(), [], 0
+        self.numbers.default_factory = self.numbers.__len__
 
     def known(self) -> Aligned:
-        for i in range(0, len(self.new), BATCH):
-            self.parts.append(aligned(self.pair, self.new[i : i + BATCH]))
-        self.new = []
-        if len(self.parts) > 1:
-            self.parts = [Aligned(*(np.concatenate(x) if isinstance(x[0], np.ndarray) else list(chain(*x)) for x in zip(*self.parts, strict=True)))]
+        new = list(islice(self.numbers, self.done, None))
+        self.parts += [aligned(self.pair, new[i : i + BATCH]) for i in range(0, len(new), BATCH)]
+        self.done = len(self.numbers)
+        self.parts = [_joined(self.parts)]
         return self.parts[0]
 
 
@@ -251,9 +264,10 @@ _BLOCK = (
 
 def _block(name: str, ids: list[int | None], texts: list[str | None], lexicon: _Lexicon) -> pa.RecordBatch:
     """One row for a block of documents: their numbers, words and groups; the links of each word; and the distinct pairs with the documents that hold them."""
-    per_doc = [[lexicon.number(w) for w in words_of(t)] if t else [] for t in texts]
+    per_doc = [words_of(t) if t else [] for t in texts]
     sizes = np.fromiter(map(len, per_doc), np.int64, len(per_doc))
-    words = np.fromiter(chain.from_iterable(per_doc), np.int64, int(sizes.sum()))
+    words = np.fromiter(map(lexicon.numbers.__getitem__, chain.from_iterable(per_doc)), np.int64, int(sizes.sum()))
+    del per_doc
     used, words = np.unique(words, return_inverse=True)
     if len(used):
         x = lexicon.known()
@@ -275,10 +289,11 @@ def _block(name: str, ids: list[int | None], texts: list[str | None], lexicon: _
     counts = x.n_links[used]
     pairs, links = np.unique(x.links[gathered(starts[used], counts)], return_inverse=True)
     link_ends = np.cumsum(counts)
-    docs = np.zeros(len(pairs), np.int64)
-    for i, j in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
-        own = np.unique(words[i:j])
-        docs[np.unique(links[gathered((link_ends - counts)[own], counts[own])])] += 1
+    # Distinct words of each document, then their distinct pairs.
+    own = _distinct(owner * max(len(used), 1) + words)
+    held, word = np.divmod(own, max(len(used), 1))
+    spread = np.repeat(held, counts[word]) * max(len(pairs), 1) + links[gathered((link_ends - counts)[word], counts[word])]
+    docs = np.bincount(_distinct(spread) % max(len(pairs), 1), minlength=len(pairs)).astype(np.int64)
     kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
     columns = (ids, shas, np.concatenate(numbers), ends, words, link_ends, links, pairs, docs)
     return pa.RecordBatch.from_arrays(
@@ -305,19 +320,21 @@ def _blocks(batches: Batches, path_a: str, path_b: str) -> Iterator[pa.RecordBat
         yield _block(f"{task}/{made}", ids, texts, _lexicon(path_a, path_b))
 
 
-def _numbered(batches: Batches) -> Iterator[pa.RecordBatch]:
-    """Maps blocks with the counts of their pairs to a row for each document."""
+def _numbered(batches: Batches, table=None) -> Iterator[pa.RecordBatch]:
+    """Maps blocks to a row for each document. The counts of pairs come from a broadcast table, sorted, or else with each block."""
     for b in batches:
         for row in range(b.num_rows):
             of = lambda c, row=row: b.column(c)[row].values
             n = len(of("doc_ids"))
             ends, link_ends = of("word_ends").to_numpy(), of("link_ends").to_numpy()
             words, links = of("words").to_numpy(), of("links").to_numpy()
-            found = b.column("found")[row].values
             count, best = np.zeros(len(of("pairs")), np.int64), np.zeros(len(of("pairs")), np.int64)
-            if found is not None and len(found):
+            if table is not None:
+                at = np.searchsorted(table.value[0], of("pairs").to_numpy())
+                count, best = table.value[1][at], table.value[2][at]
+            elif (found := b.column("found")[row].values) is not None and len(found):
                 at = found.field("at").to_numpy()
-                count[at], best[at] = found.field("n").to_numpy(), found.field("best").to_numpy(zero_copy_only=False)
+                count[at], best[at] = found.field("n").to_numpy(), found.field("best").to_numpy()
             word = np.repeat(np.arange(len(link_ends)), np.diff(link_ends, prepend=0))
             doc = np.repeat(np.arange(n), np.diff(ends, prepend=0))
             sums = []
@@ -334,7 +351,7 @@ def _numbered(batches: Batches) -> Iterator[pa.RecordBatch]:
             )
 
 
-def token_alignment(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def token_alignment(docs: DataFrame, path_a: str, path_b: str, pair_limit: int = PAIR_LIMIT) -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` of every row of ``docs`` (``doc_id``, ``text``).
 
     Both tokenizers encode a space and the text. Bytes where a token of each ends cut the tokens into
@@ -350,6 +367,12 @@ def token_alignment(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     counts = staged(held.groupBy("pair").agg(F.sum("docs").alias("n")), "counts").withColumn("a", F.shiftright("pair", 32))
     highest = counts.groupBy("a").agg(F.max("n").alias("top"))
     counts = counts.join(highest, "a").select("pair", "n", (F.col("n") == F.col("top")).cast("long").alias("best"))
+    counts = staged(counts, "best")
+    out = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
+    blocks = blocks.drop("docs")
+    if counts.count() <= pair_limit:
+        known = counts.toArrow().sort_by("pair")
+        table = docs.sparkSession.sparkContext.broadcast([known.column(c).to_numpy() for c in ("pair", "n", "best")])
+        return blocks.mapInArrow(partial(_numbered, table=table), out)
     found = held.select("block", "at", "pair").join(counts, "pair").groupBy("block").agg(F.collect_list(F.struct("at", "n", "best")).alias("found"))
-    both = blocks.join(found, "block", "left").drop("docs")
-    return both.mapInArrow(_numbered, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
+    return blocks.join(found, "block", "left").mapInArrow(_numbered, out)
