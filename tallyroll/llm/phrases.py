@@ -33,7 +33,7 @@ INSIDE = 80
 SCALE = 2_000_000
 NO_LANG = "und"
 #: Words of a shard; bytes of texts that are split at once.
-SHARD_WORDS, SPLIT_BYTES = 4_000_000, 4_000_000
+SHARD_WORDS, SPLIT_BYTES = 2_500_000, 4_000_000
 #: Bits of the filter of frequent pairs, whatever the number of pairs.
 FILTER_BITS = 1 << 26
 #: Parts of a language that are ranked apart first.
