@@ -13,6 +13,7 @@ import xxhash
 from sentencepiece import sentencepiece_model_pb2
 
 import corpus_pipeline
+from test_near import plain_kept
 from tallyroll.llm import pieces, quality, simhash, tiling, urls
 from tallyroll.llm.queries import ORACLE, QUERIES, RULES, VOCABULARY
 
@@ -304,8 +305,8 @@ def test_pipeline_equals_its_stages_in_plain_python(spark, vocabulary):
     model = quality.fit(documents, labels)
     docs = table("documents", "doc_id, text")
     kept = [x for x, s in zip(docs, quality.scores([t.encode() for _, t in docs], model), strict=True) if s >= 0.5]
-    groups = plain_components([d for d, _ in kept], [plain_fingerprint(t) for _, t in kept], 4)
-    kept = [x for x, g in zip(kept, groups, strict=True) if x[0] == g]
+    first = set(plain_kept(kept))
+    kept = [x for x in kept if x[0] in first]
     items = [tiling.words(t) for _, t in table("benchmark", "item_id, text")]
 
     def clean(text):
