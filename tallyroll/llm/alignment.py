@@ -13,6 +13,7 @@ and reach the blocks by a join if not.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import re
@@ -31,12 +32,14 @@ from tallyroll.llm.automata import gathered
 from tallyroll.llm.common import staged
 
 #: Words and documents of a block, and distinct words that a worker keeps from block to block.
-BLOCK_WORDS, BLOCK_DOCS, KEPT_WORDS = 1_000_000, 20_000, 400_000
+BLOCK_WORDS, BLOCK_DOCS, KEPT_WORDS = 500_000, 10_000, 700_000
 #: Words that are encoded at once.
 BATCH = 2_048
 #: Id pairs that are broadcast, of 24 bytes each. With more the counts of each block come by a join.
 PAIR_LIMIT = 2_000_000
 _CUT = re.compile("(?<=[^\\s▁]) (?=.)", re.DOTALL)
+#: White space before a space; without any, all spaces are cuts.
+_ODD = re.compile("[\\s▁] |^ ")
 _CLOSED = re.compile("[^\\s▁]\\Z")
 _BYTE = re.compile("<0x([0-9A-F]{2})>")
 
@@ -83,7 +86,7 @@ def load(path_a: str, path_b: str) -> Pair:
 
 def words_of(text: str) -> list[str]:
     """The words of a text. A space stands before each, also the first, and both tokenizers cut before it."""
-    return _CUT.split(text)
+    return _CUT.split(text) if text[-1] == " " or _ODD.search(text) else text.split(" ")
 
 
 class Spans(NamedTuple):
@@ -256,10 +259,10 @@ def _lexicon(path_a: str, path_b: str) -> _Lexicon:
     return found
 
 
-_BLOCK = (
-    "block string, doc_ids array<long>, shas array<string>, numbers array<long>, word_ends array<long>, words array<int>, "
-    "link_ends array<long>, links array<int>, pairs array<long>, docs array<long>"
-)
+_BLOCK = "block string, pairs array<long>, docs array<long>, data binary"
+
+
+_PARTS = ["doc_ids", "shas", "numbers", "word_ends", "words", "link_ends", "links"]
 
 
 def _block(name: str, ids: list[int | None], texts: list[str | None], lexicon: _Lexicon) -> pa.RecordBatch:
@@ -294,11 +297,15 @@ def _block(name: str, ids: list[int | None], texts: list[str | None], lexicon: _
     held, word = np.divmod(own, max(len(used), 1))
     spread = np.repeat(held, counts[word]) * max(len(pairs), 1) + links[gathered((link_ends - counts)[word], counts[word])]
     docs = np.bincount(_distinct(spread) % max(len(pairs), 1), minlength=len(pairs)).astype(np.int64)
-    kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
-    columns = (ids, shas, np.concatenate(numbers), ends, words, link_ends, links, pairs, docs)
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
+    columns = (ids, shas, np.concatenate(numbers), ends, words, link_ends, links)
+    data = pa.RecordBatch.from_arrays([pa.array([c], pa.list_(k)) for c, k in zip(columns, kinds, strict=True)], _PARTS)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, data.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+        writer.write_batch(data)
     return pa.RecordBatch.from_arrays(
-        [pa.array([name]), *(pa.array([c], pa.list_(k)) for c, k in zip(columns, kinds, strict=True))],
-        ["block", "doc_ids", "shas", "numbers", "word_ends", "words", "link_ends", "links", "pairs", "docs"],
+        [pa.array([name]), pa.array([pairs], pa.list_(pa.int64())), pa.array([docs], pa.list_(pa.int64())), pa.array([sink.getvalue().to_pybytes()])],
+        ["block", "pairs", "docs", "data"],
     )
 
 
@@ -307,6 +314,7 @@ def _blocks(batches: Batches, path_a: str, path_b: str) -> Iterator[pa.RecordBat
     from pyspark import TaskContext
 
     task, made = TaskContext.get().partitionId(), 0
+    gc.disable()  # nothing here makes cycles, and the search for them takes time
     ids, texts, size = [], [], 0
     for b in batches:
         for i, t in zip(b.column("doc_id"), b.column("text"), strict=True):
@@ -318,19 +326,22 @@ def _blocks(batches: Batches, path_a: str, path_b: str) -> Iterator[pa.RecordBat
                 ids, texts, size, made = [], [], 0, made + 1
     if ids:
         yield _block(f"{task}/{made}", ids, texts, _lexicon(path_a, path_b))
+    gc.enable()
 
 
 def _numbered(batches: Batches, table=None) -> Iterator[pa.RecordBatch]:
     """Maps blocks to a row for each document. The counts of pairs come from a broadcast table, sorted, or else with each block."""
+    _kept.clear()
     for b in batches:
         for row in range(b.num_rows):
-            of = lambda c, row=row: b.column(c)[row].values
-            n = len(of("doc_ids"))
+            parts = pa.ipc.open_stream(b.column("data")[row].as_buffer()).read_next_batch()
+            of = lambda c, parts=parts: parts.column(c)[0].values
+            n, pairs = len(of("doc_ids")), b.column("pairs")[row].values.to_numpy()
             ends, link_ends = of("word_ends").to_numpy(), of("link_ends").to_numpy()
             words, links = of("words").to_numpy(), of("links").to_numpy()
-            count, best = np.zeros(len(of("pairs")), np.int64), np.zeros(len(of("pairs")), np.int64)
+            count, best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
             if table is not None:
-                at = np.searchsorted(table.value[0], of("pairs").to_numpy())
+                at = np.searchsorted(table.value[0], pairs)
                 count, best = table.value[1][at], table.value[2][at]
             elif (found := b.column("found")[row].values) is not None and len(found):
                 at = found.field("at").to_numpy()
