@@ -36,7 +36,7 @@ def gathered(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def built(words: list[bytes], rows: np.ndarray, weights: np.ndarray) -> Automaton:
     """The minimal automaton of sorted distinct ``rows``, a sequence of labels each; only the words used are kept."""
     used, flat = np.unique(rows, return_inverse=True)
-    rows = flat.reshape(rows.shape)
+    rows = flat.astype(np.int32).reshape(rows.shape)
     new = np.zeros(len(rows), bool)
     new[:1] = True
     starts, labels, before = [], [], np.zeros(len(rows), np.int64)
@@ -46,7 +46,7 @@ def built(words: list[bytes], rows: np.ndarray, weights: np.ndarray) -> Automato
         labels.append(column[heads])
         starts.append(np.searchsorted(before[heads], np.arange(before[-1] + 2 if len(rows) else 2)))
         before = np.cumsum(new) - 1
-    targets = [np.zeros(len(labels[-1]), np.int64)]
+    targets = [np.zeros(len(labels[-1]), np.int32)]
     if not len(rows):
         return Automaton([], starts, labels, targets * len(labels), weights)
     for level in range(len(labels) - 1, 0, -1):
@@ -78,14 +78,14 @@ def _merged(starts: np.ndarray, labels: np.ndarray, targets: np.ndarray) -> tupl
     alone[np.repeat(np.arange(len(sizes)), np.where(same_size, sizes, 0))[~equal]] = True
     # Equal fingerprints of different states: those stay as they are.
     odd = np.flatnonzero(alone)
-    kinds = kinds.astype(np.int64)
+    kinds = kinds.astype(np.int32)
     kinds[odd] = len(first) + np.arange(len(odd))
     return np.concatenate((first, odd)), kinds
 
 
 def paths(x: Automaton) -> np.ndarray:
     """All accepted sequences in sorted order, as rows of labels."""
-    states, rows = np.zeros(1, np.int64), np.empty((1, 0), np.int64)
+    states, rows = np.zeros(1, np.int64), np.empty((1, 0), np.int32)
     for starts, labels, targets in zip(x.starts, x.labels, x.targets, strict=True):
         sizes = starts[states + 1] - starts[states]
         arcs = gathered(starts[states], sizes)
@@ -100,7 +100,7 @@ def union(xs: list[Automaton]) -> Automaton:
         return xs[0]
     words = sorted({w for x in xs for w in x.words})
     at = {w: i for i, w in enumerate(words)}
-    rows = np.concatenate([np.fromiter((at[w] for w in x.words), np.int64, len(x.words))[paths(x)] for x in xs])
+    rows = np.concatenate([np.fromiter((at[w] for w in x.words), np.int32, len(x.words))[paths(x)] for x in xs])
     weights = np.concatenate([x.weights for x in xs])
     return summed(words, rows, weights)
 
@@ -179,10 +179,10 @@ def to_bytes(x: Automaton) -> bytes:
 def from_bytes(data: bytes) -> Automaton:
     at = 1
 
-    def values() -> np.ndarray:
+    def values(wanted: type = np.int64) -> np.ndarray:
         nonlocal at
         kind, n = _SIZES[data[at]], int.from_bytes(data[at + 1 : at + 6], "big")
-        found = np.frombuffer(data, kind, n, at + 6).astype(np.int64)
+        found = np.frombuffer(data, kind, n, at + 6).astype(wanted)
         at += 6 + n * np.dtype(kind).itemsize
         return found
 
@@ -190,5 +190,5 @@ def from_bytes(data: bytes) -> Automaton:
     for size in values().tolist():
         words.append(data[at : at + size])
         at += size
-    levels = [(values(), values(), values()) for _ in range(data[0])]
+    levels = [(values(), values(np.int32), values(np.int32)) for _ in range(data[0])]
     return Automaton(words, *(list(x) for x in zip(*levels, strict=True)), values())

@@ -33,7 +33,9 @@ INSIDE = 80
 SCALE = 2_000_000
 NO_LANG = "und"
 #: Words of a shard; bytes of texts that are split at once.
-SHARD_WORDS, SPLIT_BYTES = 2_500_000, 4_000_000
+SHARD_WORDS, SPLIT_BYTES = 1_500_000, 2_000_000
+#: Sequences that are held apart before they are united.
+UNION_ROWS = 500_000
 #: Bits of the filter of frequent pairs, whatever the number of pairs.
 FILTER_BITS = 1 << 26
 #: Parts of a language that are ranked apart first.
@@ -114,13 +116,13 @@ class _Shard:
 
 
 def _with_lang(lang: int, rows: np.ndarray) -> np.ndarray:
-    return np.column_stack((np.full(len(rows), lang, np.int64), rows))
+    return np.column_stack((np.full(len(rows), lang, np.int32), rows.astype(np.int32)))
 
 
 def _short(lang: int, ids: np.ndarray, end: int, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Number of words, words, and pairs of one language, each with counts."""
     inside = ids != end
-    yield 0, np.array([[lang]], np.int64), np.array([inside.sum()], np.int64)
+    yield 0, np.array([[lang]], np.int32), np.array([inside.sum()], np.int64)
     counts = np.bincount(ids[inside], minlength=1)
     found = np.flatnonzero(counts)
     yield 1, _with_lang(lang, found[:, None]), counts[found]
@@ -159,14 +161,17 @@ def _counted(batches: Batches, ranges: int, kept=None) -> Iterator[pa.RecordBatc
 
     def out(shard: _Shard) -> Iterator[pa.RecordBatch]:
         words, end, langs = shard.labelled()
+        shard.known.clear()
+        shard.ids.clear()
         hashes = _hashes(words)
         by_order = defaultdict(list)
         for lang, ids in langs:
             found = _short(lang, ids, end, len(words)) if kept is None else _long(lang, ids, end, len(words), hashes, kept.value)
             for order, rows, counts in found:
                 by_order[order].append((rows, counts))
-        for order, parts in by_order.items():
-            rows, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del langs
+        for order in list(by_order):
+            rows, counts = (np.concatenate(x) for x in zip(*by_order.pop(order), strict=True))
             dealt = ranges_of(hashes, rows, ranges)
             sort = np.argsort(dealt, kind="stable")
             present, starts = np.unique(dealt[sort], return_index=True)
@@ -220,7 +225,7 @@ def _united(batches: Batches, least: int) -> Iterator[pa.RecordBatch]:
                 now, held, size, base = key, [], 0, 0
             held.append(automata.from_bytes(data.as_py()))
             size += len(held[-1].weights)
-            if size > max(1_000_000, 2 * base):
+            if size > max(UNION_ROWS, 2 * base):
                 held = [automata.union(held)]
                 size = base = len(held[0].weights)
     if now:
