@@ -330,6 +330,10 @@ SELECT 'payrollFinalizeJob', id, strftime(started_at, '%Y-%m') FROM order_runs""
     "run_history_page": f"""WITH {ORDER_RUNS}
 SELECT id, period_month, period_year, status, {_micros("started_at")}
 FROM (SELECT * FROM order_runs ORDER BY started_at DESC, id LIMIT 20 OFFSET 60)""",
+    "run_history_middle_page": f"""WITH {ORDER_RUNS},
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY status, period_month DESC, id) - 1 AS place, count(*) OVER () AS total FROM order_runs)
+SELECT id, status, period_month FROM placed WHERE place // 20 = ((total + 19) // 20) // 2""",
     "run_page_totals": """
 SELECT count(*) AS total_elements, CAST((count(*) + 19) // 20 AS BIGINT) AS total_pages FROM orders""",
     "previous_period": """
@@ -357,6 +361,16 @@ both_sources AS (
 SELECT employee_id, {DATE_TEXT}, hours_worked, source_file,
   extract(year FROM b.work_date) AS work_year, extract(month FROM b.work_date) AS work_month
 FROM both_sources b""",
+    "month_sums": f"""{EVENT_WITH}, {EVENT_ENTRIES}, {LINEITEM_ENTRIES},
+both_sources AS (SELECT * FROM event_entries UNION ALL SELECT * FROM lineitem_entries)
+SELECT employee_id, extract(year FROM work_date) AS work_year, extract(month FROM work_date) AS work_month,
+  CAST(sum(hours_worked) AS DECIMAL(14,2)) AS hours_worked
+FROM both_sources GROUP BY ALL""",
+    "repeated_job": f"""{EVENT_WITH}, {EVENT_ENTRIES}, {EVENT_HOURS}
+SELECT payroll_run_id AS id, 'COMPLETED' AS status, count(*) AS payslips,
+  CAST(sum(total_hours) AS DECIMAL(14,2)) AS total_hours,
+  (SELECT count(*) FROM classified WHERE outcome <> 'ok') AS rejects
+FROM event_hours GROUP BY payroll_run_id""",
     "rejects_roundtrip": f"""{EVENT_WITH}
 SELECT substr(email || ',' || work_date || ',' || hours_worked, 1, 500) AS raw_line,
   substr(reason, 1, 255) AS reason, CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS payroll_run_id
@@ -464,3 +478,6 @@ FROM (SELECT *, CASE WHEN status = 'COMPLETED' THEN started_at END AS completed_
         ]
     ),
 }
+
+# A snapshot and a tail give what the whole log does.
+ORACLE["compacted_run_state"] = ORACLE["current_run_state"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from tallyroll.plans import monthly
 from tallyroll.schemas import AWAITING_REVIEW, STARTED, SUMMARY_COLUMNS, Params
 from tallyroll.sources import sinks, timesheets
 from tallyroll.sources.storage import stage, working_folder
-from tallyroll.sources.tables import load_table
+from tallyroll.sources.tables import load_month_sums, load_table
 
 GRID = Params().grid_size
 LIMITS = fx.LINEITEM_PARAMS
@@ -334,7 +335,7 @@ def payslips_released(spark, sf_dir):
 def current_run_state(spark, sf_dir):
     folder = working_folder(spark, "states")
     sinks.append_run_state(fx.event_run_states(spark, sf_dir), folder)
-    current = run_ops.current_runs(load_table(spark, folder, "payroll_run_states"))
+    current = run_ops.current_runs(load_table(spark, folder, "payroll_run_states"), known_statuses=True)
     return current.select(
         "id",
         _bigint("period_month"),
@@ -345,6 +346,38 @@ def current_run_state(spark, sf_dir):
     )
 
 
+@query
+def compacted_run_state(spark, sf_dir):
+    """The log in three commits, compacted after each of the first two: a snapshot and a tail."""
+    folder = working_folder(spark, "states")
+    states = fx.event_run_states(spark, sf_dir)
+    for place in range(3):
+        # Thirds by number, so that later commits hold later changes.
+        third = F.call_function("div", F.col("seq") * 3, states.agg(F.max("seq") + 1).scalar())
+        sinks.append_run_state(states.filter(third == place), folder)
+        if place < 2:
+            sinks.compact_run_states(spark, folder)
+    current = run_ops.current_runs(load_table(spark, folder, "payroll_run_states"), known_statuses=True)
+    return current.select(
+        "id",
+        _bigint("period_month"),
+        _bigint("period_year"),
+        "status",
+        fx.timestamp_text("started_at").alias("started_at"),
+        fx.timestamp_text("completed_at").alias("completed_at"),
+    )
+
+
+@query
+def run_history_middle_page(spark, sf_dir):
+    """The page in the middle of the history by status and month: far down, it is found by selection."""
+    runs = fx.order_runs(spark, sf_dir)
+    pages = run_ops.page_totals(runs, PAGE_SIZE).first().total_pages
+    order = [("status", False), ("period_month", True)]
+    page = run_ops.run_history_page(runs, page=pages // 2, size=PAGE_SIZE, sort=order)
+    return page.select("id", "status", _bigint("period_month"))
+
+
 @query
 def run_lookup(spark, sf_dir):
     requests = fx.order_run_requests(spark, sf_dir)
@@ -557,6 +590,47 @@ def import_job(spark, sf_dir):
     return entries.unionByName(rejects)
 
 
+@query
+def month_sums(spark, sf_dir):
+    """Hours by employee and month, kept up by two imports, the second one late."""
+    root = working_folder(spark, "sums")
+    first = timesheets.with_lineage(fx.lineitem_entries(spark, sf_dir), fx.AT)
+    late = imports.import_accepted(fx.event_timesheet(spark, sf_dir), fx.customer_employees(spark, sf_dir))
+    sinks.write_entries(first, root)
+    sinks.write_entries(timesheets.with_lineage(late, fx.LATER, "events.csv"), root)
+    sums = load_month_sums(spark, root).groupBy("employee_id", "work_year", "work_month")
+    return sums.agg(F.sum("hours_worked").cast("decimal(14,2)").alias("hours_worked")).select(
+        "employee_id", _bigint("work_year"), _bigint("work_month"), "hours_worked"
+    )
+
+
+@query
+def repeated_job(spark, sf_dir):
+    """A monthly job that fails before its commit, and its repeat: all rows once, every run held or paid once."""
+    root = working_folder(spark, "repeat")
+    fx.customer_employees(spark, sf_dir).write.parquet(f"{root}/employees")
+    runs = fx.event_runs(spark, sf_dir)
+    sinks.append_run_state(run_ops.changed_state(runs, STARTED, fx.AT, run_ops.CREATE), root)
+    csv, params = _events_as_csv(spark, sf_dir), replace(_job_params(root), skip_limit=2_147_483_647)
+    blocked = stage(runs.select("id"), f"{root}/blocked")
+    for export_dir in (f"{root}/blocked/part-no-folder\0", params.export_dir):
+        # A name that no store takes makes the export fail, after the import and the payslips.
+        try:
+            monthly.run_monthly(
+                spark, root, blocked, fx.AT, replace(params, export_dir=export_dir), csv, fx.EVENTS_RUN, "quarantine"
+            )
+        except Exception:
+            if export_dir == params.export_dir:
+                raise
+    monthly.run_finalize(spark, root, blocked, fx.LATER, params)
+    rejects = load_table(spark, root, "rejected_timesheet_entries").agg(F.count("*").alias("rejects"))
+    slips = load_table(spark, root, "payslips").groupBy(F.col("payroll_run_id").alias("id")).agg(
+        F.count("*").alias("payslips"), F.sum("total_hours").cast("decimal(14,2)").alias("total_hours")
+    )
+    current = run_ops.current_runs(load_table(spark, root, "payroll_run_states"), known_statuses=True)
+    return current.join(slips, "id", "left").join(rejects).select("id", "status", "payslips", "total_hours", "rejects")
+
+
 @query
 def finalized_payslips(spark, sf_dir):
     root, routes = _stored_month(spark, sf_dir)
@@ -668,7 +742,10 @@ def fk_violations(spark, sf_dir):
     check = quality.fk_violations
     return quality.union_reports(
         check(entries, "employee_id", customers, "id", "timesheet_entries", "employee_exists"),
-        check(slips, "payroll_run_id", runs, "id", "payslips", "run_exists"),
-        check(slips, "employee_id", suppliers, "id", "payslips", "employee_exists"),
+        quality.fk_report(
+            slips,
+            "payslips",
+            {"run_exists": ("payroll_run_id", runs, "id"), "employee_exists": ("employee_id", suppliers, "id")},
+        ),
         check(rejects, "payroll_run_id", runs, "id", "rejected_timesheet_entries", "run_exists"),
     )

@@ -173,9 +173,17 @@ def enforce_skip_limit(classified: DataFrame, limit: int) -> None:
     write, so that a failed import leaves nothing behind."""
     over = skip_limit_report(classified, limit).filter("exceeded").orderBy("payroll_run_id").head(1)
     if over:
-        raise SkipLimitExceededError(
-            f"payroll run {over[0].payroll_run_id}: {over[0].rejected} rejected rows, limit {limit}"
-        )
+        check_skip_limit(over[0].payroll_run_id, over[0].rejected, limit)
+
+
+def check_skip_limit(run_id: int, rejected: int, limit: int) -> None:
+    if rejected > limit:
+        raise SkipLimitExceededError(f"payroll run {run_id}: {rejected} rejected rows, limit {limit}")
+
+
+def sub_cent_employee() -> Column:
+    """Aggregate over classified rows: the least employee id of an accepted row whose hours are stored as 0.00."""
+    return F.min(F.when((F.col("outcome") == OK) & (F.col("hours") <= 0), F.col("employee_id")))
 
 
 def sub_cent_entries(entries: DataFrame) -> DataFrame:

@@ -9,21 +9,29 @@ from tallyroll.operators import imports
 from tallyroll.sources.timesheets import MALFORMED_REASON
 
 
-def import_metrics(classified: DataFrame) -> DataFrame:
-    """Rows read, written and skipped per run, skips split by phase. A
-    malformed line is skipped before it counts as read; every other reject
-    is skipped while rows are checked, and none while they are written."""
+IMPORT_COUNTERS = "items_read long, items_written long, items_skipped long, read_skips long, process_skips long, write_skips long"
+
+
+def import_counters() -> list[Column]:
+    """Rows read, written and skipped, skips split by phase. A malformed line
+    is skipped before it counts as read; every other reject is skipped while
+    rows are checked, and none while they are written."""
     outcome = F.col("outcome")
     malformed = F.count_if(outcome == imports.MALFORMED)
     rejected = F.count_if(outcome != imports.OK)
-    return classified.groupBy("payroll_run_id").agg(
+    return [
         F.count_if(outcome != imports.MALFORMED).alias("items_read"),
         F.count_if(outcome == imports.OK).alias("items_written"),
         rejected.alias("items_skipped"),
         malformed.alias("read_skips"),
         (rejected - malformed).alias("process_skips"),
         F.lit(0).cast("bigint").alias("write_skips"),
-    )
+    ]
+
+
+def import_metrics(classified: DataFrame) -> DataFrame:
+    """:func:`import_counters` of each run."""
+    return classified.groupBy("payroll_run_id").agg(*import_counters())
 
 
 def range_metrics(ranges: DataFrame, hours: DataFrame, payslips: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ Every report has the columns ``table_name``, ``rule``, ``key`` and
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,7 +59,12 @@ def guarded(rows: DataFrame, table: str) -> DataFrame:
     checks = {
         "timesheet_entries": {"hours_in_range": (hours <= 0) | (hours > 24)},
         "employees": {"hourly_rate_positive": rate <= 0},
+        "payroll_run_states": {
+            "period_month_in_range": ~F.col("period_month").between(1, 12),
+            "status_known": ~F.col("status").isin(*STATUSES),
+        },
     }.get(table, {})
+    checks |= {f"{name}_length": F.length(F.col(name)) > most for name, most in TEXT_LENGTHS.get(table, {}).items()}
     nullable = {"payroll_run_states": {"completed_at"}}.get(table, set())
     bad = {f"{name} is null": F.col(name).isNull() for name in rows.columns if name not in nullable} | checks
     broken = F.coalesce(*(F.when(rule, F.lit(f"{table}: {name}")) for name, rule in bad.items()))
@@ -124,6 +131,24 @@ def fk_violations(
     )
 
 
+def fk_report(child: DataFrame, table: str, keys: dict[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """:func:`fk_violations` of several foreign keys of one table, in one scan of it.
+
+    ``keys`` maps each rule to the column, the parent table and the column of the parent. Every row
+    is stacked into a row for each rule, which partial sums reduce to the distinct keys before
+    anything is shuffled; the parents are stacked likewise and share one anti join.
+    """
+    stacked = F.array(
+        *(F.struct(F.lit(rule).alias("rule"), F.col(column).cast("bigint").alias("parent_key")) for rule, (column, _, _) in keys.items())
+    )
+    counted = child.select(F.inline(stacked)).filter(F.col("parent_key").isNotNull()).groupBy("rule", "parent_key").agg(F.count("*").alias("violations"))
+    parents = [
+        parent.select(F.lit(rule).alias("rule"), F.col(column).cast("bigint").alias("parent_key")) for rule, (_, parent, column) in keys.items()
+    ]
+    missing = counted.join(reduce(DataFrame.unionAll, parents), ["rule", "parent_key"], "left_anti")
+    return missing.select(F.lit(table).alias("table_name"), "rule", F.col("parent_key").cast("string").alias("key"), "violations")
+
+
 def union_reports(*reports: DataFrame) -> DataFrame:
     united = reports[0].select(*REPORT_COLUMNS)
     for report in reports[1:]:

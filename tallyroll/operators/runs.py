@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.functions.periods import period_key
+from tallyroll.operators.paging import page_of
 from tallyroll.schemas import AWAITING_REVIEW, COMPLETED, PAYROLL_RUNS, RUN_STATES, STARTED, STATUSES
-from tallyroll.sources.storage import stage, working_folder
 
 # Order of the status changes one job makes at one time.
 CREATE, HOLD, RESUME, COMPLETE = 0, 1, 2, 3
@@ -65,14 +65,12 @@ def changed_state(runs: DataFrame, status: str, at: datetime, change: int) -> Da
 
 def after_log(states: DataFrame, log: DataFrame) -> DataFrame:
     """``states`` with sequence numbers above those their runs have in ``log``,
-    whatever the caller's clock says."""
-    last = (
-        log.join(states.select("id").distinct(), "id", "left_semi")
-        .groupBy("id")
-        .agg(F.max("seq").alias("_last"))
-    )
-    seq = F.greatest(F.col("seq"), F.col("_last") + 1)
-    return states.join(last, "id", "left").withColumn("seq", seq).select(*RUN_STATES.fieldNames())
+    whatever the caller's clock says. Several changes of a run keep their order."""
+    first = states.groupBy("id").agg(F.min("seq").alias("_first"))
+    last = log.join(first.select("id"), "id", "left_semi").groupBy("id").agg(F.max("seq").alias("_last"))
+    shift = F.greatest(F.lit(0), F.coalesce(F.col("_last") + 1 - F.col("_first"), F.lit(0)))
+    moved = states.join(first, "id", "left").join(last, "id", "left").withColumn("seq", F.col("seq") + shift)
+    return moved.select(*RUN_STATES.fieldNames())
 
 
 def with_known_ids(requests: DataFrame, log: DataFrame) -> DataFrame:
@@ -94,22 +92,18 @@ def complete_runs(runs: DataFrame, at: datetime) -> DataFrame:
     return changed_state(runs, COMPLETED, at, COMPLETE)
 
 
-def current_runs(states: DataFrame) -> DataFrame:
+def current_runs(states: DataFrame, known_statuses: bool = False) -> DataFrame:
     """The run table: latest status, first start and latest completion.
 
     One aggregation instead of a window: states are reduced before the
     shuffle, so a run with very many states does not fill a task. The status
     travels as its position in the fixed list, which keeps the aggregation
-    buffer numeric; the rare text that is not in the list is looked up after.
+    buffer numeric; a text that is not in the list is looked up after. The sinks
+    store no such text, so readers of stored logs may leave that out by ``known_statuses``.
     """
     known = F.array(*map(F.lit, STATUSES))
     code = F.array_position(known, F.col("status")).cast("int")
-    other = (
-        states.filter(~F.col("status").isin(*STATUSES))
-        .groupBy("id", F.col("seq").alias("_seq"))
-        .agg(F.min("status").alias("_other"))
-    )
-    return (
+    latest = (
         states.withColumn("code", code)
         .groupBy("id")
         .agg(
@@ -120,10 +114,16 @@ def current_runs(states: DataFrame) -> DataFrame:
             F.min("started_at").alias("started_at"),
             F.max("completed_at").alias("completed_at"),
         )
-        .join(other, ["id", "_seq"], "left")
-        .withColumn("status", F.coalesce(F.get(known, F.col("code") - 1), F.col("_other")))
-        .select(*PAYROLL_RUNS.fieldNames())
     )
+    status = F.get(known, F.col("code") - 1)
+    if not known_statuses:
+        other = (
+            states.filter(~F.col("status").isin(*STATUSES))
+            .groupBy("id", F.col("seq").alias("_seq"))
+            .agg(F.min("status").alias("_other"))
+        )
+        latest, status = latest.join(other, ["id", "_seq"], "left"), F.coalesce(status, F.col("_other"))
+    return latest.withColumn("status", status).select(*PAYROLL_RUNS.fieldNames())
 
 
 def lookup_runs(requests: DataFrame, runs: DataFrame) -> DataFrame:
@@ -176,8 +176,7 @@ def run_history_page(
 
     ``sort`` is a column, or several with whether each is descending. Nulls are
     the largest values, as in PostgreSQL: first descending, last ascending.
-    The rows are sorted once, in parallel, and picked by their number, so a
-    page far down costs what the first one does.
+    The page is found by selection (``paging``), without a sort or write of the table.
     """
     if page < 0 or size < 1:
         raise ValueError("page must be at least 0 and size at least 1")
@@ -185,40 +184,7 @@ def run_history_page(
     for name, _ in keys:
         if name not in SORTABLE:
             raise ValueError(f"cannot sort by {name!r}, expected one of {SORTABLE}")
-    order = [
-        F.col(name).desc_nulls_first() if down else F.col(name).asc_nulls_last() for name, down in keys
-    ] + [F.col("id")]
-    first = page * size
-    numbered = _numbered(runs.orderBy(*order))
-    wanted = F.col("_number").between(first, first + size - 1)
-    return numbered.filter(wanted).drop("_number").orderBy(*order)
-
-
-def _numbered(ordered: DataFrame) -> DataFrame:
-    """Add ``_number``, the place of each row in the order, from 0.
-
-    The generated id holds the number of the partition above its 33 low bits
-    and the place within the partition in them. The sorted rows are staged, so
-    that both uses of them see the same partitions.
-    """
-    spark = ordered.sparkSession
-    placed = ordered.withColumn("_place", F.monotonically_increasing_id())
-    staged = stage(placed, working_folder(spark, "history")).withColumn(
-        "_part", F.shiftright("_place", 33)
-    )
-    # One row per partition, so the window and the broadcast are small.
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        staged.groupBy("_part")
-        .agg(F.count("*").alias("rows"))
-        .select("_part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("_start"))
-    )
-    number = F.col("_start") + F.col("_place").bitwiseAND((1 << 33) - 1)
-    return (
-        staged.join(F.broadcast(starts), "_part")
-        .withColumn("_number", number)
-        .drop("_part", "_place", "_start")
-    )
+    return page_of(runs, [*keys, ("id", False)], page * size, size)
 
 
 def page_totals(rows: DataFrame, size: int) -> DataFrame:

@@ -75,6 +75,19 @@ REJECTED_ENTRIES = T.StructType(
     ]
 )
 
+# Hours of each employee and month in one import, so that a run need not sum entries again.
+MONTH_SUMS = T.StructType(
+    [
+        T.StructField("employee_id", T.LongType(), False),
+        T.StructField("hours_worked", T.DecimalType(14, 2), False),
+        T.StructField("work_year", T.IntegerType(), False),
+        T.StructField("work_month", T.IntegerType(), False),
+    ]
+)
+
+# Runs calculated in one commit: its payslips are those of the run until a later commit names it.
+PAYSLIP_RUNS = T.StructType([T.StructField("payroll_run_id", T.LongType(), False)])
+
 SUMMARY_COLUMNS = [
     "employee_id",
     "first_name",
@@ -93,6 +106,8 @@ TABLES = {
     "timesheet_entries": (TIMESHEET_ENTRIES, ["work_year", "work_month"]),
     "payroll_run_states": (RUN_STATES, []),
     "payslips": (PAYSLIPS, ["payroll_run_id"]),
+    "month_sums": (MONTH_SUMS, ["work_year", "work_month"]),
+    "payslip_runs": (PAYSLIP_RUNS, []),
     "rejected_timesheet_entries": (REJECTED_ENTRIES, ["payroll_run_id"]),
 }
 
@@ -114,6 +129,7 @@ TEXT_LENGTHS = {
     },
     "timesheet_entries": {"source_file": 255},
     "payroll_runs": {"status": 30},
+    "payroll_run_states": {"status": 30},
     "rejected_timesheet_entries": {"raw_line": RAW_LINE_LENGTH, "reason": REASON_LENGTH},
 }
 

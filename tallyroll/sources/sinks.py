@@ -10,21 +10,26 @@ from pyspark.sql import functions as F
 from tallyroll.functions.periods import period_key
 from tallyroll.operators.payslips import as_stored, with_employee_columns
 from tallyroll.operators.quality import guarded
-from tallyroll.operators.runs import after_log
-from tallyroll.schemas import REJECTED_ENTRIES, RUN_STATES, SUMMARY_COLUMNS, TABLES
+from tallyroll.operators.runs import after_log, current_runs
+from tallyroll.schemas import REJECTED_ENTRIES, SUMMARY_COLUMNS, TABLES
+from tallyroll.sources.manifest import SEGMENT, Commit
 from tallyroll.sources.storage import list_names, remove, replace_path, write_text
-from tallyroll.sources.tables import load_table, table_path
+from tallyroll.sources.tables import load_table, read_segments, table_path
 
 
 def write_entries(entries: DataFrame, root: str) -> None:
     """Append accepted entries by month. Importing a file twice counts its
     hours twice, so nothing is de-duplicated."""
-    _write(entries, root, "timesheet_entries", mode="append")
+    commit = Commit(entries.sparkSession, root)
+    add_entries(commit, entries)
+    commit.publish()
 
 
 def write_rejected(rejected: DataFrame, root: str) -> None:
     """Append rejected rows to the quarantine of their run."""
-    _write(rejected.select(*REJECTED_ENTRIES.fieldNames()), root, "rejected_timesheet_entries", mode="append")
+    commit = Commit(rejected.sparkSession, root)
+    add_rejected(commit, rejected)
+    commit.publish()
 
 
 def write_payslips(payslips: DataFrame, root: str, runs: DataFrame | None = None) -> None:
@@ -34,34 +39,73 @@ def write_payslips(payslips: DataFrame, root: str, runs: DataFrame | None = None
     ``runs`` (column ``id``) are all runs that were calculated. Those of them
     that have no payslips now keep none from before.
     """
-    _write(as_stored(payslips), root, "payslips", mode="overwrite")
-    if runs is not None:
-        paid = payslips.select(F.col("payroll_run_id").alias("id")).distinct()
-        for (run_id,) in runs.select("id").join(paid, "id", "left_anti").toLocalIterator():
-            remove(payslips.sparkSession, f"{table_path(root, 'payslips')}/payroll_run_id={run_id}")
+    commit = Commit(payslips.sparkSession, root)
+    add_payslips(commit, payslips, runs)
+    commit.publish()
 
 
 def append_run_state(states: DataFrame, root: str) -> None:
     """Append status changes to the log that stands for the run table. Each
     change comes after those its run has in the log."""
-    log = load_table(states.sparkSession, root, "payroll_run_states")
-    _write(after_log(states, log), root, "payroll_run_states", mode="append")
+    commit = Commit(states.sparkSession, root)
+    add_run_states(commit, states)
+    commit.publish()
+
+
+def add_entries(commit: Commit, entries: DataFrame) -> None:
+    """Entries and their sums by employee and month, from which runs are paid."""
+    _add(commit, "timesheet_entries", entries)
+    keys = ["employee_id", "work_year", "work_month"]
+    sums = written(commit, "timesheet_entries").groupBy(*keys).agg(F.sum("hours_worked").cast("decimal(14,2)").alias("hours_worked"))
+    _add(commit, "month_sums", sums)
+
+
+def add_rejected(commit: Commit, rejected: DataFrame) -> None:
+    _add(commit, "rejected_timesheet_entries", rejected.select(*REJECTED_ENTRIES.fieldNames()))
+
+
+def add_payslips(commit: Commit, payslips: DataFrame, runs: DataFrame | None = None) -> None:
+    _add(commit, "payslips", as_stored(payslips))
+    calculated = written(commit, "payslips").select("payroll_run_id")
+    if runs is not None:
+        calculated = calculated.unionByName(runs.select(F.col("id").alias("payroll_run_id")))
+    _add(commit, "payslip_runs", calculated.distinct())
+
 
+def add_run_states(commit: Commit, states: DataFrame) -> None:
+    log = load_table(commit.spark, commit.root, "payroll_run_states")
+    _add(commit, "payroll_run_states", after_log(states, log))
 
-def _write(df: DataFrame, root: str, name: str, mode: str) -> None:
+
+def compact_run_states(spark: SparkSession, root: str) -> None:
+    """Put the log so far into one segment with a row for each run: its last status, first start and last completion.
+
+    Readers then read this snapshot and what was appended later. The rows it stands for
+    stay in their folders until ``manifest.vacuum`` deletes them.
+    """
+    commit = Commit(spark, root)
+    log = read_segments(spark, root, "payroll_run_states", commit.base.of("payroll_run_states"))
+    latest = log.groupBy("id").agg(F.max("seq").alias("seq"))
+    _add(commit, "payroll_run_states", current_runs(log, known_statuses=True).join(latest, "id"))
+    commit.retire("payroll_run_states", commit.base.of("payroll_run_states"))
+    commit.publish()
+
+
+def written(commit: Commit, name: str) -> DataFrame:
+    """The rows that a commit has written to a table and not published yet."""
+    return read_segments(commit.spark, commit.root, name, [commit.segment]).drop(SEGMENT)
+
+
+def _add(commit: Commit, name: str, df: DataFrame) -> None:
     """Write in the stored layout. The rebalance gathers each partition value
     into files of a sensible size and splits a value that holds much of the
     data, where a plain shuffle on it would leave it to one task."""
     schema, partition_by = TABLES[name]
-    df = guarded(df, name)
+    df = guarded(df, name).select(*schema.fieldNames())
     if partition_by:
-        df = df.select(*schema.fieldNames()).hint("rebalance", *partition_by)
-    (
-        df.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(table_path(root, name))
-    )
+        df = df.hint("rebalance", *partition_by)
+    commit.tag(df).write.mode("append").partitionBy(*partition_by, SEGMENT).parquet(table_path(commit.root, name))
+    commit.added(name)
 
 
 def export_summary(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -83,6 +84,33 @@ def write_text(spark: SparkSession, target: str, text: str) -> None:
         stream.close()
 
 
+def read_text(spark: SparkSession, source: str) -> str:
+    """The text of a small file."""
+    path = _path(spark, source)
+    stream = _filesystem(spark, path).open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, target: str, text: str) -> bool:
+    """Make a small file appear whole under a name that is free; False if the name is taken."""
+    path = _path(spark, target)
+    beside = f"{path.getParent()}/.{path.getName()}-{uuid.uuid4().hex}"
+    write_text(spark, beside, text)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), spark._jsc.hadoopConfiguration())
+    plain = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(_path(spark, beside), path, plain)
+    except Py4JJavaError as error:
+        remove(spark, beside)
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def _path(spark: SparkSession, name: str):
     return spark._jvm.org.apache.hadoop.fs.Path(name)
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyroll.schemas import PAYROLL_RUNS, TABLES
+from tallyroll.sources import manifest
+from tallyroll.sources.manifest import SEGMENT
 from tallyroll.sources.storage import list_names
 
 JDBC_TABLES = {
@@ -24,12 +27,61 @@ def table_path(root: str, name: str) -> str:
 
 
 def load_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A stored table with its declared schema; empty before the first write."""
+    """A stored table with its declared schema; empty before the first write.
+
+    Of tables written by the sinks, the rows of committed segments are read. A folder of
+    plain Parquet files, as ``employees`` is, is read as it is.
+    """
+    live = manifest.current(spark, root)
+    if name != "payslips":
+        return _stored(spark, root, name, live)
+    if not live.of("payslips"):
+        return spark.createDataFrame([], TABLES["payslips"][0])
+    # The last commit that calculated a run has its payslips, if there are any.
+    calculated = read_segments(spark, root, "payslip_runs", live.of("payslip_runs"))
+    latest = calculated.groupBy("payroll_run_id").agg(F.max(SEGMENT).alias(SEGMENT))
+    slips = read_segments(spark, root, "payslips", live.of("payslips"))
+    return slips.join(latest, ["payroll_run_id", SEGMENT]).select(*TABLES["payslips"][0].fieldNames())
+
+
+def _stored(spark: SparkSession, root: str, name: str, live: manifest.Manifest) -> DataFrame:
     schema, _ = TABLES[name]
     path = table_path(root, name)
-    if not list_names(spark, path):
+    if live.of(name):
+        return read_segments(spark, root, name, live.of(name)).drop(SEGMENT)
+    if name in live.segments or not any(n.endswith(".parquet") or "=" in n for n in list_names(spark, path)):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return read_segments(spark, root, name, []).drop(SEGMENT) if _only_failed(spark, path, name) else spark.read.schema(schema).parquet(path)
+
+
+def _only_failed(spark: SparkSession, path: str, name: str) -> bool:
+    """Whether a folder without committed segments holds segments all the same: what failed jobs left."""
+    folder = path
+    for _ in TABLES[name][1]:
+        folder = f"{folder}/{next(n for n in list_names(spark, folder) if '=' in n)}"
+    return any(n.startswith(f"{SEGMENT}=") for n in list_names(spark, folder))
+
+
+def read_segments(spark: SparkSession, root: str, name: str, segments: list[str]) -> DataFrame:
+    """The rows of some segments of a table, with the segment of each. Other segments are pruned by their folders."""
+    schema, _ = TABLES[name]
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField(SEGMENT, T.StringType())])).parquet(table_path(root, name))
+    return rows.filter(F.coalesce(SEGMENT, F.lit("")).isin(segments))
+
+
+def load_month_sums(spark: SparkSession, root: str) -> DataFrame:
+    """Hours by employee, month and import, in the columns that sums of hours read. Entries that have
+    no sums, because they were not written by the sinks, stand for themselves."""
+    live = manifest.current(spark, root)
+    columns = TABLES["month_sums"][0].fieldNames()
+    bare = [s for s in live.of("timesheet_entries") if s not in set(live.of("month_sums"))]
+    if bare or not live.of("month_sums"):
+        entries = read_segments(spark, root, "timesheet_entries", bare) if bare else _stored(spark, root, "timesheet_entries", live)
+        entries = entries.withColumn("hours_worked", F.col("hours_worked").cast("decimal(14,2)")).select(*columns)
+        if not live.of("month_sums"):
+            return entries
+        return _stored(spark, root, "month_sums", live).select(*columns).unionByName(entries)
+    return _stored(spark, root, "month_sums", live)
 
 
 def jdbc_options(

@@ -7,23 +7,24 @@ from decimal import Decimal
 
 from tallyroll.schemas import EMPLOYEES, STARTED
 
-AT = datetime(2026, 9, 1, 3, 0, 0)
-LATER = datetime(2026, 9, 2, 9, 30, 0)
+AT = datetime(2027, 4, 2, 4, 15, 0)
+LATER = datetime(2027, 4, 5, 11, 40, 0)
 
 PEOPLE = [
-    (1, "Alice", "Martin", "Engineering", "45.00"),
-    (2, "Bob", "Dupont", "Engineering", "40.00"),
-    (3, "Carla", "Silva", "Sales", "35.00"),
-    (4, "David", "Chen", "Sales", "38.00"),
-    (5, "Emma", "Rossi", "HR", "42.00"),
+    (1, "Ines", "Okafor", "Foundry", "27.40"),
+    (2, "Tomasz", "Lindqvist", "Foundry", "31.25"),
+    (3, "Yuki", "Barros", "Dispatch", "24.10"),
+    (4, "Noor", "Haddad", "Dispatch", "36.80"),
+    (5, "Pavel", "Quispe", "Office", "29.95"),
 ]
-# Employee, gross, deductions and net pay of the month below.
+# Days and hours a day of each in the month below, and by hand: hours, gross, deductions and net pay.
+WORKED = {1: (4, "7.25"), 2: (3, "9.40"), 3: (5, "6.15"), 4: (14, "23.50"), 5: (1, "5.35")}
 GOLDEN = {
-    1: ("40.00", "1800.00", "270.00", "1530.00"),
-    2: ("37.50", "1500.00", "225.00", "1275.00"),
-    3: ("32.00", "1120.00", "168.00", "952.00"),
-    4: ("312.00", "14744.00", "2211.60", "12532.40"),
-    5: ("18.00", "756.00", "113.40", "642.60"),
+    1: ("29.00", "794.60", "119.19", "675.41"),
+    2: ("28.20", "881.25", "132.19", "749.06"),
+    3: ("30.75", "741.08", "111.16", "629.92"),
+    4: ("329.00", "15216.80", "2282.52", "12934.28"),
+    5: ("5.35", "160.23", "24.03", "136.20"),
 }
 
 
@@ -39,20 +40,25 @@ def employees(spark):
     return spark.createDataFrame(rows, EMPLOYEES)
 
 
-def month_lines(year: int = 2026, month: int = 8) -> list[str]:
-    """33 lines: 30 good ones, two hours out of range, one unknown email."""
-    days = [3, 4, 5, 6, 7, 10, 11, 12, 13, 14, 17, 18, 19]
-    hours = {"Alice": (5, "8.00"), "Bob": (5, "7.50"), "Carla": (4, "8.00"), "Emma": (3, "6.00"), "David": (13, "24.00")}
-    emails = {first: email(first, last) for _, first, last, _, _ in PEOPLE}
-    lines = [
-        f"{emails[name]},{date(year, month, day)},{value}"
-        for name, (count, value) in hours.items()
-        for day in days[:count]
+def month_lines(year: int = 2027, month: int = 3) -> list[str]:
+    """31 lines: 27 good ones and one of each kind of reject."""
+    emails = {i: email(first, last) for i, first, last, _, _ in PEOPLE}
+    good = [f"{emails[i]},{date(year, month, day)},{value}" for i, (days, value) in WORKED.items() for day in range(1, days + 1)]
+    return good + [
+        f"{emails[5]},{date(year, month, 9)},24.25",
+        f"{emails[2]},{date(year, month, 9)},n/a",
+        f"{emails[3]},{year}-{month:02d}-32,6.15",
+        f"visitor@example.net,{date(year, month, 9)},6.15",
     ]
-    lines.append(f"{emails['David']},{date(year, month, 20)},0.00")
-    lines.append(f"{emails['David']},{date(year, month, 21)},25.00")
-    lines.append(f"unknown.employee@example.com,{date(year, month, 3)},8.00")
-    return lines
+
+
+#: What the import makes of the bad lines above.
+REJECTED = [
+    ("pavel.quispe@example.com,2027-03-09,24.25", "hours_worked must be > 0 and <= 24, was: 24.25"),
+    ("tomasz.lindqvist@example.com,2027-03-09,n/a", "hours_worked is not a valid number: n/a"),
+    ("visitor@example.net,2027-03-09,6.15", "Unknown employee email: visitor@example.net"),
+    ("yuki.barros@example.com,2027-03-32,6.15", "work_date is not a valid ISO date: 2027-03-32"),
+]
 
 
 def write_csv(path, lines, header="email,work_date,hours_worked"):

@@ -74,7 +74,7 @@ def test_floats_are_refused():
 def test_golden_payslips(spark):
     lines = [tuple(line.split(",")) for line in data.month_lines()]
     raw, employees = data.raw(spark, *lines), data.employees(spark)
-    runs = data.runs(spark, (1, 2026, 8), (2, 2026, 7))
+    runs = data.runs(spark, (1, 2027, 3), (2, 2027, 2))
     entries = imports.import_accepted(raw, employees)
     by_id = hours_ops.hours_by_employee(entries, employees, runs)
     by_email = hours_ops.hours_by_email(imports.valid_rows(raw), employees, runs)
@@ -138,9 +138,9 @@ def test_summary_columns_and_order(spark):
     slips = payslips.payslips(hours_ops.hours_by_employee(entries, employees, runs))
     rows = payslips.payroll_summary(slips, employees).collect()
     assert [(r.employee_id, r.first_name, r.email) for r in rows] == [
-        (1, "Alice", "alice.martin@example.com"),
-        (3, "Carla", "carla.silva@example.com"),
-        (5, "Emma", "emma.rossi@example.com"),
+        (1, "Ines", "ines.okafor@example.com"),
+        (3, "Yuki", "yuki.barros@example.com"),
+        (5, "Pavel", "pavel.quispe@example.com"),
     ]
     assert payslips.for_run(slips, 2).count() == 0
 

@@ -30,7 +30,9 @@ def small():
 
 
 def test_registry_and_sql_have_the_same_names():
-    assert set(QUERIES) == set(ORACLE) == set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    # The entry adds the training-data operators where they are present.
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLE) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

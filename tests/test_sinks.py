@@ -101,8 +101,8 @@ def test_summary_file(spark, tmp_path):
     assert files == [f"{out}/payroll-summary-2026-08.csv", f"{out}/payroll-summary-2026-09.csv"]
     assert lines(files[0]) == [
         ",".join(SUMMARY_COLUMNS),
-        "1,Alice,Martin,alice.martin@example.com,Engineering,40.00,400.00,60.00,340.00",
-        "3,Carla,Silva,carla.silva@example.com,Sales,32.00,320.00,48.00,272.00",
+        "1,Ines,Okafor,ines.okafor@example.com,Foundry,40.00,400.00,60.00,340.00",
+        "3,Yuki,Barros,yuki.barros@example.com,Dispatch,32.00,320.00,48.00,272.00",
     ]
     assert len(lines(files[1])) == 2
     assert sorted(n for n in os.listdir(out) if not n.startswith(".")) == [os.path.basename(f) for f in files]
