@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from tallyroll.operators import runs as run_ops
 from tallyroll.plans import monthly
 from tallyroll.schemas import AWAITING_REVIEW, STARTED, SUMMARY_COLUMNS, Params
 from tallyroll.sources import sinks, timesheets
-from tallyroll.sources.storage import stage, working_folder
+from tallyroll.sources.storage import stage, working_folder, write_text
 from tallyroll.sources.tables import load_month_sums, load_table
 
 GRID = Params().grid_size
@@ -606,23 +607,21 @@ def month_sums(spark, sf_dir):
 
 @query
 def repeated_job(spark, sf_dir):
-    """A monthly job that fails before its commit, and its repeat: all rows once, every run held or paid once."""
+    """Held runs whose payment fails before its commit, and its repeat: every run is paid once."""
     root = working_folder(spark, "repeat")
     fx.customer_employees(spark, sf_dir).write.parquet(f"{root}/employees")
     runs = fx.event_runs(spark, sf_dir)
     sinks.append_run_state(run_ops.changed_state(runs, STARTED, fx.AT, run_ops.CREATE), root)
     csv, params = _events_as_csv(spark, sf_dir), replace(_job_params(root), skip_limit=2_147_483_647)
-    blocked = stage(runs.select("id"), f"{root}/blocked")
-    for export_dir in (f"{root}/blocked/part-no-folder\0", params.export_dir):
-        # A name that no store takes makes the export fail, after the import and the payslips.
-        try:
-            monthly.run_monthly(
-                spark, root, blocked, fx.AT, replace(params, export_dir=export_dir), csv, fx.EVENTS_RUN, "quarantine"
-            )
-        except Exception:
-            if export_dir == params.export_dir:
-                raise
-    monthly.run_finalize(spark, root, blocked, fx.LATER, params)
+    requests = stage(runs.select("id"), f"{root}/requests")
+    monthly.run_monthly(spark, root, requests, fx.AT, params, csv, fx.EVENTS_RUN, "quarantine")
+    # A file in place of the folder makes the export fail, after the payslips are written.
+    write_text(spark, f"{root}/a-file", "")
+    try:
+        monthly.run_finalize(spark, root, requests, fx.LATER, replace(params, export_dir=f"{root}/a-file/exports"))
+        raise AssertionError("the export must fail")
+    except Py4JJavaError:
+        monthly.run_finalize(spark, root, requests, fx.LATER, params)
     rejects = load_table(spark, root, "rejected_timesheet_entries").agg(F.count("*").alias("rejects"))
     slips = load_table(spark, root, "payslips").groupBy(F.col("payroll_run_id").alias("id")).agg(
         F.count("*").alias("payslips"), F.sum("total_hours").cast("decimal(14,2)").alias("total_hours")
