@@ -73,8 +73,10 @@ def add_payslips(commit: Commit, payslips: DataFrame, runs: DataFrame | None = N
 
 
 def add_run_states(commit: Commit, states: DataFrame) -> None:
-    log = load_table(commit.spark, commit.root, "payroll_run_states")
-    _add(commit, "payroll_run_states", after_log(states, log))
+    name = "payroll_run_states"
+    if commit.base.of(name) or list_names(commit.spark, table_path(commit.root, name)):
+        states = after_log(states, load_table(commit.spark, commit.root, name))
+    _add(commit, name, states)
 
 
 def compact_run_states(spark: SparkSession, root: str) -> None:
