@@ -212,6 +212,9 @@ FROM event_rows WHERE event_id % 71 = 0 OR event_id % 73 = 0""",
     "lineage_counts": f"""{EVENT_WITH}
 SELECT '2024-02-01 03:00:00.000000' AS imported_at, count(*) AS entries, count(*) AS entries_of_csv_files
 FROM classified WHERE outcome = 'ok'""",
+    "lineage_of_rows": f"""{EVENT_WITH}
+SELECT employee_id, CAST(day AS VARCHAR) AS work_date, CAST(hours_value AS DECIMAL(4,2)) AS hours_worked,
+  'batch-' || (event_id % 3) AS file FROM classified WHERE outcome = 'ok'""",
     "normalise_raw": f"""WITH {EVENT_ROWS}
 SELECT event_id, trim(email, {BLANKS}) AS email,
   CASE WHEN event_id % 79 = 0 THEN '' ELSE work_date END AS work_date,
@@ -262,6 +265,10 @@ SELECT payroll_run_id, employee_id, hourly_rate, total_hours FROM event_hours"""
     "hours_in_id_range": f"""{LINEITEM_WITH}, {RANGES.format(employees="supplier_employees")}
 SELECT CAST(g.range_id AS BIGINT) AS range_id, g.min_id, g.max_id, h.payroll_run_id, h.employee_id, h.total_hours
 FROM lineitem_hours h JOIN ranges g ON h.employee_id BETWEEN g.min_id AND g.max_id""",
+    "hours_between_ids": f"""{LINEITEM_WITH},
+cut AS (SELECT (min(id) + max(id)) // 2 AS middle FROM supplier_employees)
+SELECT CAST(employee_id > middle AS BIGINT) AS span, payroll_run_id, employee_id, total_hours
+FROM lineitem_hours, cut""",
     "anomalous_employees": f"""{EVENT_WITH}, {EVENT_ENTRIES}, {EVENT_HOURS}
 SELECT payroll_run_id, employee_id, total_hours FROM event_hours WHERE total_hours > 300""",
     # Payslips.
@@ -375,6 +382,14 @@ FROM event_hours GROUP BY payroll_run_id""",
 SELECT substr(email || ',' || work_date || ',' || hours_worked, 1, 500) AS raw_line,
   substr(reason, 1, 255) AS reason, CAST(strftime(ts, '%Y%m%d') AS BIGINT) AS payroll_run_id
 FROM classified WHERE outcome <> 'ok'""",
+    "rejects_of_run": f"""{EVENT_WITH}
+SELECT substr(email || ',' || work_date || ',' || hours_worked, 1, 500) AS raw_line,
+  substr(reason, 1, 255) AS reason, CAST(202402 AS BIGINT) AS payroll_run_id
+FROM classified WHERE outcome <> 'ok'""",
+    "found_employees": f"""WITH {CUSTOMER_EMPLOYEES},
+keys AS (SELECT min(c_custkey) AS low, max(c_custkey) AS high FROM customer GROUP BY c_nationkey)
+SELECT found_by, id, email, department, hourly_rate FROM customer_employees
+JOIN (SELECT 'id' AS found_by, low AS id FROM keys UNION ALL SELECT 'email', high FROM keys) USING (id)""",
     "payslips_rerun": f"""{LINEITEM_WITH},
 before AS (SELECT * FROM lineitem_hours WHERE payroll_run_id < 199801),
 after AS (SELECT * FROM lineitem_hours WHERE payroll_run_id >= 199801),
@@ -406,6 +421,10 @@ FROM slips JOIN routed USING (payroll_run_id) WHERE route = 'REVIEW_REQUIRED'"""
             _nulls("employees", "department", "customer", "c_custkey % 50 = 0"),
             _nulls("timesheet_entries", "work_date", "events", "event_id % 97 = 0"),
             _nulls("timesheet_entries", "hours_worked", "events", "event_id % 61 = 0"),
+            _nulls("payslips", "employee_id", "lineitem", "l_linenumber = 4"),
+            _nulls("payslips", "net_pay", "lineitem", "l_suppkey % 10 = 3"),
+            _nulls("rejected_timesheet_entries", "raw_line", "documents", "text IS NULL"),
+            _nulls("rejected_timesheet_entries", "reason", "documents", "doc_id % 7 = 0 OR source IS NULL"),
         ]
     ),
     "duplicate_emails": f"""WITH {CUSTOMER_EMPLOYEES}
@@ -449,6 +468,8 @@ FROM (SELECT *, CASE WHEN status = 'COMPLETED' THEN started_at END AS completed_
         [
             _broken("rejected_timesheet_entries", "raw_line_length", "doc_id", "documents", "length(text) > 500"),
             _broken("employees", "bank_account_length", "c_custkey", "customer", "c_custkey % 100 = 0"),
+            _broken("timesheet_entries", "source_file_length", "event_id", "events", "event_id % 113 = 0"),
+            _broken("payroll_runs", "status_length", "o_orderkey", "orders", "o_orderkey % 127 = 0"),
         ]
     ),
     "fk_violations": "\nUNION ALL\n".join(

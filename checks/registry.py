@@ -18,8 +18,8 @@ from tallyroll.operators import runs as run_ops
 from tallyroll.plans import monthly
 from tallyroll.schemas import AWAITING_REVIEW, STARTED, SUMMARY_COLUMNS, Params
 from tallyroll.sources import sinks, timesheets
-from tallyroll.sources.storage import stage, working_folder, write_text
-from tallyroll.sources.tables import load_month_sums, load_table
+from tallyroll.sources.storage import list_names, replace_path, stage, working_folder, write_text
+from tallyroll.sources.tables import find, load_month_sums, load_table
 
 GRID = Params().grid_size
 LIMITS = fx.LINEITEM_PARAMS
@@ -74,15 +74,36 @@ def lineage_counts(spark, sf_dir):
     )
 
 
+@query
+def lineage_of_rows(spark, sf_dir):
+    """Each accepted row with the file it came from: the rows of three folders, in files named after them."""
+    folder = working_folder(spark, "lineage")
+    rows = fx.event_rows(spark, sf_dir).select(*timesheets.RAW_FIELDS, (F.col("event_id") % 3).alias("batch"))
+    _write_csv(rows, f"{folder}/written", sep=",", partition_by=["batch"])
+    for batch in [n for n in list_names(spark, f"{folder}/written") if "=" in n]:
+        for part in [n for n in list_names(spark, f"{folder}/written/{batch}") if n.endswith(".csv")]:
+            target = f"{folder}/files/{batch.replace('=', '-')}.{part}"
+            replace_path(spark, f"{folder}/written/{batch}/{part}", target)
+    read = timesheets.read_timesheets(spark, f"{folder}/files")
+    entries = timesheets.with_lineage(imports.import_accepted(read, fx.customer_employees(spark, sf_dir)), fx.AT)
+    return entries.select(
+        "employee_id",
+        fx.text("work_date").alias("work_date"),
+        "hours_worked",
+        F.substring_index("source_file", ".", 1).alias("file"),
+    )
+
+
 def _events_as_csv(spark: SparkSession, sf_dir: str) -> str:
     folder = working_folder(spark, "events")
     _write_csv(fx.event_rows(spark, sf_dir).select(*timesheets.RAW_FIELDS), folder, sep=",")
     return folder
 
 
-def _write_csv(rows: DataFrame, folder: str, sep: str) -> None:
+def _write_csv(rows: DataFrame, folder: str, sep: str, partition_by: list[str] | None = None) -> None:
     (
         rows.write.mode("overwrite")
+        .partitionBy(*(partition_by or []))
         .options(header=True, sep=sep, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .csv(folder)
     )
@@ -238,6 +259,22 @@ def hours_in_id_range(spark, sf_dir):
     )
 
 
+@query
+def hours_between_ids(spark, sf_dir):
+    """Hours of two spans of ids, cut in the middle of the bounds; together they are all of the hours."""
+    employees = fx.supplier_employees(spark, sf_dir)
+    bounds = ranges.id_bounds(employees).first()
+    low, high = bounds.min_id or 0, bounds.max_id or 0
+    middle = (low + high) // 2
+    spans = [(low, middle), (middle + 1, high)]
+    entries, runs = fx.lineitem_entries(spark, sf_dir), fx.monthly_runs(spark, sf_dir)
+    lower, upper = (
+        hours_ops.hours_by_employee(entries, employees, runs, id_range=span).withColumn("span", F.lit(place).cast("bigint"))
+        for place, span in enumerate(spans)
+    )
+    return lower.unionByName(upper).select("span", "payroll_run_id", "employee_id", "total_hours")
+
+
 @query
 def anomalous_employees(spark, sf_dir):
     found = review.anomalies(_event_hours(spark, sf_dir), Params().anomaly_threshold_hours)
@@ -507,6 +544,30 @@ def rejects_roundtrip(spark, sf_dir):
     return load_table(spark, folder, "rejected_timesheet_entries")
 
 
+@query
+def rejects_of_run(spark, sf_dir):
+    """All rejects were imported for two runs; those of the second are read, from its folder alone."""
+    folder = working_folder(spark, "rejects")
+    rejected = imports.rejected_rows(_classified_events(spark, sf_dir))
+    for run_id in (fx.EVENTS_RUN, fx.EVENTS_RUN + 1):
+        sinks.write_rejected(rejected.withColumn("payroll_run_id", F.lit(run_id).cast("bigint")), folder)
+    return payslip_ops.for_run(load_table(spark, folder, "rejected_timesheet_entries"), fx.EVENTS_RUN + 1)
+
+
+@query
+def found_employees(spark, sf_dir):
+    """Of each nation the first customer by id and the last one by email, found by key in the stored table."""
+    folder = working_folder(spark, "employees")
+    employees = fx.customer_employees(spark, sf_dir)
+    sinks.write_employees(employees, folder)
+    # One row a nation: a bounded number of keys.
+    nations = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_nationkey").join(employees, "id")
+    keys = nations.groupBy("c_nationkey").agg(F.min("id").alias("id"), F.max_by("email", "id").alias("email")).collect()
+    by_id = find(spark, folder, "employees", "id", [k.id for k in keys]).withColumn("found_by", F.lit("id"))
+    by_email = find(spark, folder, "employees", "email", [k.email for k in keys]).withColumn("found_by", F.lit("email"))
+    return by_id.unionByName(by_email).select("found_by", "id", "email", "department", "hourly_rate")
+
+
 @query
 def payslips_rerun(spark, sf_dir):
     folder = working_folder(spark, "payslips")
@@ -654,10 +715,20 @@ def null_violations(spark, sf_dir):
         F.when(F.col("event_id") % 97 != 0, F.col("work_date")).alias("work_date"),
         F.when(F.col("event_id") % 61 != 0, F.col("hours_worked")).alias("hours_worked"),
     )
+    slips = fx.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("payroll_run_id"),
+        F.when(F.col("l_linenumber") != 4, F.col("l_suppkey")).alias("employee_id"),
+        F.when(F.col("l_suppkey") % 10 != 3, F.col("l_extendedprice")).alias("net_pay"),
+    )
+    rejects = fx.table(spark, sf_dir, "documents").select(
+        F.col("text").alias("raw_line"), F.when(F.col("doc_id") % 7 != 0, F.col("source")).alias("reason")
+    )
     return quality.union_reports(
         quality.null_violations(employees, "employees"),
         quality.null_violations(entries, "timesheet_entries"),
         quality.null_violations(fx.order_runs(spark, sf_dir), "payroll_runs", nullable=("completed_at",)),
+        quality.null_violations(slips, "payslips"),
+        quality.null_violations(rejects, "rejected_timesheet_entries"),
     )
 
 
@@ -717,9 +788,17 @@ def length_violations(spark, sf_dir):
     employees = fx.customer_employees(spark, sf_dir).withColumn(
         "bank_account", F.concat("bank_account", F.when(F.col("id") % 100 == 0, "0").otherwise(""))
     )
+    entries = fx.table(spark, sf_dir, "events").select(
+        "event_id", F.repeat(F.lit("x"), F.when(F.col("event_id") % 113 == 0, 256).otherwise(255)).alias("source_file")
+    )
+    runs = fx.order_runs(spark, sf_dir).withColumn(
+        "status", F.when(F.col("id") % 127 == 0, F.rpad("status", 31, "-")).otherwise(F.col("status"))
+    )
     return quality.union_reports(
         quality.length_violations(documents, "rejected_timesheet_entries", "doc_id"),
         quality.length_violations(employees, "employees", "id"),
+        quality.length_violations(entries, "timesheet_entries", "event_id"),
+        quality.length_violations(runs, "payroll_runs", "id"),
     )
 
 

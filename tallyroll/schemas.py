@@ -111,6 +111,14 @@ TABLES = {
     "rejected_timesheet_entries": (REJECTED_ENTRIES, ["payroll_run_id"]),
 }
 
+# Columns by which single rows of a stored table are looked up. Files are sorted by the first one,
+# and each has a Bloom filter in every row group.
+LOOKUP_COLUMNS = {
+    "employees": ["id", "email"],
+    "payroll_run_states": ["id"],
+    "payslips": ["employee_id"],
+}
+
 # Run statuses and text limits of the tables.
 STARTED = "STARTED"
 AWAITING_REVIEW = "AWAITING_REVIEW"

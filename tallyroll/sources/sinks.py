@@ -9,14 +9,33 @@ from pyspark.sql import functions as F
 
 from tallyroll.functions.periods import period_key
 from tallyroll.operators.payslips import as_stored, with_employee_columns
-from tallyroll.operators.quality import guarded
+from tallyroll.operators.quality import duplicate_emails, duplicate_ids, guarded, require_clean
 from tallyroll.operators.runs import after_log, current_runs
-from tallyroll.schemas import REJECTED_ENTRIES, SUMMARY_COLUMNS, TABLES
+from tallyroll.schemas import LOOKUP_COLUMNS, REJECTED_ENTRIES, SUMMARY_COLUMNS, TABLES
 from tallyroll.sources.manifest import SEGMENT, Commit
 from tallyroll.sources.storage import list_names, remove, replace_path, write_text
 from tallyroll.sources.tables import load_table, read_segments, table_path
 
 
+#: Bytes of a row group in tables whose rows are looked up: a lookup reads whole row groups.
+LOOKUP_GROUP_BYTES = 16 << 20
+
+
+def write_employees(employees: DataFrame, root: str) -> None:
+    """Replace the employees. Repeated ids or emails raise before anything is published.
+
+    Rows are dealt by ranges of the id, so a file holds few ids and their order in it
+    is theirs: see :func:`tables.find`.
+    """
+    commit = Commit(employees.sparkSession, root)
+    _add(commit, "employees", employees.repartitionByRange("id"))
+    stored = written(commit, "employees")
+    require_clean(duplicate_ids(stored, "employees"))
+    require_clean(duplicate_emails(stored))
+    commit.retire("employees", commit.base.of("employees"))
+    commit.publish(unchanged=("employees",))
+
+
 def write_entries(entries: DataFrame, root: str) -> None:
     """Append accepted entries by month. Importing a file twice counts its
     hours twice, so nothing is de-duplicated."""
@@ -106,10 +125,22 @@ def _add(commit: Commit, name: str, df: DataFrame) -> None:
     df = guarded(df, name).select(*schema.fieldNames())
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    commit.tag(df).write.mode("append").partitionBy(*partition_by, SEGMENT).parquet(table_path(commit.root, name))
+    df, keys = commit.tag(df), LOOKUP_COLUMNS.get(name, [])
+    if keys:
+        df = df.sortWithinPartitions(*partition_by, SEGMENT, keys[0])
+    writer = df.write.mode("append").partitionBy(*partition_by, SEGMENT).options(**_lookup_options(keys))
+    writer.parquet(table_path(commit.root, name))
     commit.added(name)
 
 
+def _lookup_options(keys: list[str]) -> dict[str, str]:
+    if not keys:
+        return {}
+    # Adaptive filters are sized by the distinct values of their row group.
+    options = {"parquet.block.size": str(LOOKUP_GROUP_BYTES), "parquet.bloom.filter.adaptive.enabled": "true"}
+    return options | {f"parquet.bloom.filter.enabled#{key}": "true" for key in keys}
+
+
 def export_summary(
     spark: SparkSession,
     payslips: DataFrame,

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyroll.schemas import PAYROLL_RUNS, TABLES
+from tallyroll.schemas import LOOKUP_COLUMNS, PAYROLL_RUNS, TABLES
 from tallyroll.sources import manifest
 from tallyroll.sources.manifest import SEGMENT
 from tallyroll.sources.storage import list_names
@@ -44,6 +47,30 @@ def load_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return slips.join(latest, ["payroll_run_id", SEGMENT]).select(*TABLES["payslips"][0].fieldNames())
 
 
+#: Keys of one lookup, as they are part of the query; larger sets are a table to join with.
+MOST_KEYS = 1000
+
+
+def find(spark: SparkSession, root: str, name: str, column: str, keys: list) -> DataFrame:
+    """The rows of a stored table whose ``column`` is one of ``keys``, from the row groups that may hold them.
+
+    The sinks sort files by the first lookup column and give each lookup column a Bloom filter
+    per row group, so that ranges or filters leave out the row groups without a key. Spark
+    passes on lists of up to a number of values to the files, so longer ones are split. Null keys match nothing.
+    """
+    if column not in LOOKUP_COLUMNS.get(name, ()):
+        raise KeyError(f"{name} has no lookup by {column!r}")
+    wanted = sorted({key for key in keys if key is not None})
+    if len(wanted) > MOST_KEYS:
+        raise ValueError(f"{len(wanted)} keys, at most {MOST_KEYS}: join with a table of keys instead")
+    rows = load_table(spark, root, name)
+    if not wanted:
+        return rows.limit(0)
+    passed = max(int(spark.conf.get("spark.sql.parquet.pushdown.inFilterThreshold")), 1)
+    lists = [wanted[i : i + passed] for i in range(0, len(wanted), passed)]
+    return rows.filter(reduce(or_, [F.col(column).isin(some) for some in lists]))
+
+
 def _stored(spark: SparkSession, root: str, name: str, live: manifest.Manifest) -> DataFrame:
     schema, _ = TABLES[name]
     path = table_path(root, name)
