@@ -57,14 +57,22 @@ def _windows(codes: np.ndarray, model: Model) -> np.ndarray:
     return np.lib.stride_tricks.as_strided(x, (n, WIDTH * DIMS), (STRIDE * step, x.strides[1]), writeable=False)
 
 
-def _maxima(codes: np.ndarray, model: Model) -> np.ndarray:
-    """Largest output of each filter in each half; ``codes`` are whole halves."""
+def _maxima(codes: np.ndarray, model: Model, last: np.ndarray) -> np.ndarray:
+    """Largest output of each filter in each half; ``codes`` are whole halves, ``last`` the halves that end a text.
+
+    The last windows of a text would reach into the next one. Over zeros, as they should be, they say what
+    the window before them says, so they are left out.
+    """
+    over = WIDTH // STRIDE - 1
     out = np.empty((len(codes) // HALF, FILTERS), np.float32)
     more = np.concatenate([codes, np.zeros(WIDTH, np.uint8)])
     for at in range(0, len(out), _HALVES):
         part = more[at * HALF : (at + _HALVES) * HALF + WIDTH]
         y = np.ascontiguousarray(_windows(part, model)) @ model.filters
-        out[at : at + _HALVES] = y.reshape(-1, _STEPS, FILTERS).max(axis=1)
+        y = y.reshape(-1, _STEPS, FILTERS)
+        out[at : at + _HALVES] = y[:, :-over].max(axis=1)
+        inner = ~last[at : at + _HALVES]
+        out[at : at + _HALVES][inner] = np.maximum(out[at : at + _HALVES][inner], y[inner, -over:].max(axis=1))
     return out
 
 
@@ -75,8 +83,10 @@ def _size_class(n: np.ndarray) -> np.ndarray:
 def _log_odds(texts: list[bytes], model: Model) -> np.ndarray:
     padded = [_padded(t) for t in texts]
     halves = np.array([len(p) // HALF for p in padded])
-    peaks = _maxima(np.frombuffer(b"".join(padded), np.uint8), model)
     last = np.cumsum(halves) - 1
+    ends = np.zeros(halves.sum(), bool)
+    ends[last] = True
+    peaks = _maxima(np.frombuffer(b"".join(padded), np.uint8), model, ends)
     chunk = peaks.copy()
     chunk[:-1] = np.maximum(peaks[:-1], peaks[1:])
     chunk[last] = peaks[last]  # a chunk ends with its text
