@@ -10,6 +10,7 @@ contaminated by an item of which the marked runs, in whatever order, cover COVER
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -25,7 +26,9 @@ from tallyroll.llm.common import free_name, row_keyed, staged
 SEED, COVERAGE = 5, 0.5
 #: Bits of the filter of seeds that every task gets: half a megabyte, however large the benchmark.
 FILTER_BITS = 1 << 22
-_WORD = re.compile(r"\w+")
+#: Letters of scripts that put no spaces between words (Thai, Lao, Burmese, Khmer, Japanese, Chinese). Each is a word.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[^\W{_UNSPACED}]+|(?=\w)[{_UNSPACED}]")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Words whose hashes a task remembers, and characters of text that it works on at once.
 _KNOWN, _BLOCK = 500_000, 1 << 22
@@ -147,6 +150,10 @@ def greedy_tiles(text: list, pattern: list, least: int) -> list[tuple[int, int,
 
     Each word belongs to one tile at most. Of runs of one length the first in the text
     wins, then the first in the pattern. Runs shorter than ``least`` are no tiles.
+
+    Runs are searched for by a length that halves. Those found wait in a heap, the longest
+    on top; what longer tiles leave of a run goes back by its new length, so that the next tile is
+    the longest run left at all.
     """
     free_t, free_p = [True] * len(text), [True] * len(pattern)
     codes: dict = {}
@@ -155,18 +162,32 @@ def greedy_tiles(text: list, pattern: list, least: int) -> list[tuple[int, int,
     out = []
     size = max(min(len(t), len(p)), least)
     while True:
-        found = _common_runs(t, p, free_t, free_p, size)
-        for n, i, j in sorted(found, key=lambda x: (-x[0], x[1], x[2])):
-            if all(free_t[i : i + n]) and all(free_p[j : j + n]):
-                free_t[i : i + n] = free_p[j : j + n] = [False] * n
-                out.append((i, j, n))
-        if found:
-            continue  # what longer runs have cut short is looked for again
+        waiting = [(-n, i, j) for n, i, j in _common_runs(t, p, free_t, free_p, size)]
+        heapq.heapify(waiting)
+        while waiting:
+            minus, i, j = heapq.heappop(waiting)
+            rest = list(_free_parts(free_t, free_p, i, j, -minus, size))
+            if rest == [(-minus, i, j)]:
+                free_t[i : i - minus] = free_p[j : j - minus] = [False] * -minus
+                out.append((i, j, -minus))
+                continue
+            for n, k, m in rest:
+                heapq.heappush(waiting, (-n, k, m))
         if size <= least:
             return sorted(out)
         size = max(size // 2, least)
 
 
+def _free_parts(free_t: list[bool], free_p: list[bool], i: int, j: int, n: int, size: int) -> Iterator[tuple[int, int, int]]:
+    """Parts of ``size`` words or more of a run that no tile holds yet."""
+    start = 0
+    for k in range(n + 1):
+        if k == n or not (free_t[i + k] and free_p[j + k]):
+            if k - start >= size:
+                yield k - start, i + start, j + start
+            start = k + 1
+
+
 def _common_runs(t: list[int], p: list[int], free_t: list[bool], free_p: list[bool], size: int) -> list[tuple[int, int, int]]:
     """Runs of ``size`` free words or more that can't be made longer."""
     at = defaultdict(list)
