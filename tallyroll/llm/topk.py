@@ -13,11 +13,14 @@ above the lowest of their list, so none is negative.
    reach the bound, the k best of each block, are ranked.
 
 Partial scores are made a block of queries and a block of candidates at a time. Scores are
-integers below 2**53, which double precision holds exactly.
+integers below 2**53, which double precision holds exactly. Vectors with components too large for that
+go another way: their scores are made of Python integers and ranked with the others.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,16 +36,26 @@ LISTS = 2
 QUERY_ROWS, CANDIDATE_ROWS = 512, 4096
 #: Inner products up to this size are exact in double precision.
 _EXACT = 2**53
+#: Components below it fit in a long when they are scaled.
+_FITS = float(2**53)
 
 
 def scaled(embeddings: DataFrame) -> DataFrame:
-    """``no, vec_id, v``: floor(256 x) of each component x; rows that are null or hold null or non-finite components go."""
+    """``no, vec_id, v, x, most``: floor(256 x) of each component x; rows that are null or hold null or non-finite components go.
+
+    ``most`` is the largest magnitude in ``v``. Where it would not fit in a long, it and ``v`` are null and ``x`` has the components.
+    """
     rows = embeddings.select(
         F.monotonically_increasing_id().alias("no"),
         F.col("vec_id").cast("long").alias("vec_id"),
         F.col("embedding").cast("array<double>").alias("x"),
     )
-    return rows.where(_valid("x")).select("no", "vec_id", F.transform("x", lambda c: F.floor(c * 256).cast("long")).alias("v"))
+    fits = F.forall("x", lambda c: F.abs(c) < _FITS)
+    v = F.transform("x", lambda c: F.when(F.abs(c) < _FITS, F.floor(c * 256).cast("long")))
+    made = rows.where(_valid("x")).select("no", "vec_id", F.when(fits, v).alias("v"), F.when(~fits, F.col("x")).alias("x"))
+    zero = F.lit(0).cast("long")
+    most = F.greatest(F.coalesce(F.array_max("v"), zero), -F.coalesce(F.array_min("v"), zero))
+    return made.withColumn("most", F.when(F.col("v").isNotNull(), most))
 
 
 def _valid(name: str) -> F.Column:
@@ -148,25 +161,91 @@ def _reaching(dims: int, lists: int, k: int):
     return run
 
 
+def _integers(rows: dict[str, pa.Array], dims: int) -> np.ndarray:
+    """Scaled vectors of Python integers, filled up with zeros."""
+    out = np.zeros((len(rows["no"]), dims), object)
+    for i, (v, x) in enumerate(zip(rows["v"].to_pylist(), rows["x"].to_pylist(), strict=True)):
+        whole = v if v is not None else [int(c) * 256 if abs(c) >= _FITS else math.floor(c * 256) for c in x]
+        out[i, : len(whole)] = whole
+    return out
+
+
+def _key(score: int) -> str:
+    """Text in the order of scores: plain for a long, by length and digits beyond it."""
+    if -(2**63) <= score < 2**63:
+        return "1"
+    digits = f"{len(str(abs(score))):04d}{abs(score)}"
+    return f"2{digits}" if score > 0 else "0" + digits.translate(str.maketrans("0123456789", "9876543210"))
+
+
+def _by_integers(dims: int, k: int):
+    """Each query's ``k`` best of a pair of blocks, by exact integers of any size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                q, c = (
+                    dict(zip((f.name for f in x.type), x.flatten(), strict=True))
+                    for x in (b.column("q_rows")[i].values, b.column("c_rows")[i].values)
+                )
+                cm, c_no, c_id = _integers(c, dims), c["no"].to_pylist(), c["vec_id"].to_pylist()
+                out = []
+                for no, vec_id, v in zip(q["no"].to_pylist(), q["vec_id"].to_pylist(), _integers(q, dims), strict=True):
+                    scores = cm @ v
+                    others = [n for n in range(len(c_no)) if c_no[n] != no]
+                    best = heapq.nsmallest(k, others, key=lambda n: (-scores[n], c_id[n] is None, c_id[n] or 0, c_no[n]))
+                    for n in best:
+                        near = max(-(2**63), min(scores[n], 2**63 - 1))
+                        out.append((no, vec_id, c_no[n], c_id[n], near, _key(scores[n])))
+                yield pa.RecordBatch.from_pylist([dict(zip(_RANKED.names, r, strict=True)) for r in out], _RANKED)
+
+    return run
+
+
+_RANKED = pa.schema(
+    {"query": pa.int64(), "query_id": pa.int64(), "candidate": pa.int64(), "vec_id": pa.int64(), "score": pa.int64(), "beyond": pa.string()}
+)
+
+
 def top_k(embeddings: DataFrame, is_query, k: int = 5, lists: int = LISTS) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` best other rows of each row for which ``is_query`` (a column of ``vec_id``).
 
     Ties go to the smaller vec_id (null last), then to the earlier row. With fewer rows all
     are returned. Repeated rows are rows: a copy of the query is a candidate. Shorter
-    vectors count as filled up with zeros. Components so large that a score may pass 2**53
-    raise an error. Other columns are ignored; an empty table gives no rows.
+    vectors count as filled up with zeros. Vectors so large that a score may pass 2**53 are ranked
+    by exact integers; a score that passes a long is given as the nearest long. Other columns are
+    ignored; an empty table gives no rows.
     """
     rows = staged(scaled(embeddings), "vectors")
-    size = rows.agg(
-        F.count("*"),
-        F.max(F.size("v")),
-        F.max(F.greatest(F.coalesce(F.array_max("v"), F.lit(0)), -F.coalesce(F.array_min("v"), F.lit(0)))),
-        F.count(F.when(is_query, 1)),
+    total, longest, asked = rows.agg(
+        F.count("*"), F.max(F.size(F.coalesce(F.col("v").cast("array<double>"), "x"))), F.count(F.when(is_query, 1))
     ).first()
-    total, dims, most, asked = size[0], max(size[1] or 0, lists), size[2] or 0, size[3]
-    if most * most * dims * 4 >= _EXACT:
-        raise ValueError("components are too large for exact scores")
-    queries = rows.where(is_query)
+    dims = max(longest or 0, lists)
+    # Two vectors below this bound have partial and whole scores below 2**53.
+    small = F.coalesce(F.col("most") <= math.isqrt(_EXACT // (4 * dims) - 1), F.lit(False))
+    large = rows.where(~small).count()
+    ordinary = rows.where(small)
+    reached = _by_threshold(ordinary, ordinary.where(is_query), total - large, asked, dims, lists, k).withColumn("beyond", F.lit("1"))
+    if large:
+        kind = "query long, query_id long, candidate long, vec_id long, score long, beyond string"
+        queries, larger = rows.where(is_query), rows.where(~small)
+        for asking, among, count in ((queries.where(~small), rows, total), (queries.where(small), larger, large)):
+            made = _block_pairs(among, asking, count, min(asked, large) if among is rows else asked, ["x"])
+            reached = reached.unionByName(made.mapInArrow(_by_integers(dims, k), kind))
+    best = Window.partitionBy("query").orderBy(F.desc("score"), F.desc("beyond"), F.col("vec_id").asc_nulls_last(), "candidate")
+    return reached.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _block_pairs(rows: DataFrame, queries: DataFrame, total: int, asked: int, extra: list[str]) -> DataFrame:
+    """All pairs of a block of queries and a block of candidates; ``extra`` are columns that both sides bring along."""
+    q_blocks, c_blocks = max(-(-asked // QUERY_ROWS), 1), max(-(-total // CANDIDATE_ROWS), 1)
+    every = {n: F.explode(F.sequence(F.lit(0), F.lit(count - 1)).cast("array<long>")) for n, count in (("q", q_blocks), ("c", c_blocks))}
+    c_side = _blocks(rows, "c", c_blocks, extra).withColumn("q", every["q"])
+    return c_side.join(_blocks(queries, "q", q_blocks, extra).withColumn("c", every["c"]), ["q", "c"]).select("q_rows", "c_rows")
+
+
+def _by_threshold(rows: DataFrame, queries: DataFrame, total: int, asked: int, dims: int, lists: int, k: int) -> DataFrame:
+    """The three phases: for each query rows of which the ``k`` best are its best."""
     q_blocks, c_blocks = max(-(-asked // QUERY_ROWS), 1), max(-(-total // CANDIDATE_ROWS), 1)
     every = {n: F.explode(F.sequence(F.lit(0), F.lit(count - 1)).cast("array<long>")) for n, count in (("q", q_blocks), ("c", c_blocks))}
     c_side = staged(_blocks(rows, "c", c_blocks, []), "candidates").withColumn("q", every["q"])
@@ -184,8 +263,6 @@ def top_k(embeddings: DataFrame, is_query, k: int = 5, lists: int = LISTS) -> Da
     cutoffs = staged(
         lows.join(bounds, "query", "left").select(F.col("query").alias("no"), "lows", F.coalesce("bound", least).alias("bound")), "cutoffs"
     )
-    reached = pairs(queries.join(cutoffs, "no"), ["bound", "lows"]).mapInArrow(
+    return pairs(queries.join(cutoffs, "no"), ["bound", "lows"]).mapInArrow(
         _reaching(dims, lists, k), "query long, query_id long, candidate long, vec_id long, score long"
     )
-    best = Window.partitionBy("query").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last(), "candidate")
-    return reached.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
