@@ -49,9 +49,13 @@ def unescape(text: str) -> str:
 
 
 class Visitor:
-    """Collects the content of one turn; there is a method for each kind of part."""
+    """Collects the content of one turn; there is a method for each kind of part.
+
+    Texts that follow each other are escaped as one, so that no control string is formed where they meet.
+    """
 
     def __init__(self):
+        self.waiting: list[str] = []
         self.out: list[str] = []
         self.length = 0
         self.texts: list[tuple[int, int]] = []
@@ -62,7 +66,12 @@ class Visitor:
             getattr(self, f"visit_{part['kind']}", self.visit_other)(part)
 
     def visit_text(self, part: dict) -> None:
-        text = escape(part["text"] or "")
+        self.waiting.append(part["text"] or "")
+
+    def finish(self) -> None:
+        """Writes the texts that wait, as one."""
+        text = escape("".join(self.waiting))
+        self.waiting.clear()
         if text:
             self.texts.append((self.length, len(text)))
             self._write(text)
@@ -80,6 +89,7 @@ class Visitor:
         self._attach(part | {"kind": "other"}, 0)
 
     def _attach(self, part: dict, tokens: int) -> None:
+        self.finish()
         number = len(self.attachments) + 1
         self.attachments.append({"number": number, "kind": part["kind"], "ref": part["ref"], "tokens": tokens})
         self._write(f"<|{part['kind']}:{number}|>")
@@ -108,6 +118,7 @@ def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             v = Visitor()
             for part in r["parts"] or ():
                 v.visit(part)
+            v.finish()
             role = r["role"] or ""
             head = f"{TURN}{escape(role)}{PART}"
             masked = v.texts if role == LEARNED else []
