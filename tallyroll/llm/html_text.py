@@ -107,9 +107,8 @@ def _parsed(page: str) -> tuple[list[tuple[_Element, str | None]], list[_Element
             opened[stack[-1].name] -= 1
             events.append((stack.pop(), None))
 
-    for m in _TOKEN.finditer(page):
-        if m.start() < at:
-            continue
+    # Each token is looked for behind the one before: a "<" in raw text starts none.
+    while m := _TOKEN.search(page, at):
         text(m.start())
         at = m.end()
         name, closing = (m[2] or "").lower(), bool(m[1])
