@@ -17,26 +17,32 @@ STEPS, RATE, DECAY = 400, 2.0, 1e-3
 #: Fitting takes a table of at most this many labelled urls.
 FIT_ROWS = 100_000
 
-#: Labelled urls, 1 to block and 0 to allow.
+#: Labelled urls, 1 to block and 0 to allow. None has a host of the pages to be judged.
 LABELLED = [
     *((u, 1) for u in """
 http://casino-royal.example.com/en/12 https://www.lucky-casino.example.net/de/play
-http://blog.casino-win.example.edu/fr/305 https://m.online-casino.example.info/es/8
-http://free-bets.example.info/en/44 https://www.best-bets.example.com/fr/bonus
+http://blog.casino-night.example.edu/fr/305 https://m.online-casino.example.info/es/8
+http://bonus-bets.example.info/en/44 https://www.best-bets.example.com/fr/bonus
 http://sports-bets.example.org/de/91 https://m.bets-free.example.net/es/7
 http://poker-win.example.net/en/3 https://slots-jackpot.example.com/de/spin
-http://adult-x.example.info/en/17 https://www.adult-cams.example.org/fr/20
+http://adult-dating.example.info/en/17 https://www.adult-cams.example.org/fr/20
 http://xxx-adult.example.com/de/5 https://m.adult-video.example.net/es/61
-http://spam-farm.example.edu/en/9 https://www.link-farm.example.com/fr/1
+http://spam-mail.example.edu/en/9 https://www.link-farm.example.com/fr/1
 http://content-farm.example.net/de/70 https://m.spam-links.example.org/es/13
-http://cheap-pills.example.info/en/50 https://www.pills-online.example.com/fr/2
+http://diet-pills.example.info/en/50 https://www.pills-online.example.com/fr/2
 http://buy-pills.example.org/de/33 https://m.cheap-meds.example.net/es/64
-http://ads-track.example.edu/en/28 https://www.track-clicks.example.com/fr/19
+http://ads-click.example.edu/en/28 https://www.track-clicks.example.com/fr/19
 http://ads-server.example.net/de/6 https://m.tracker-ads.example.org/es/71
 http://free-prize.example.com/en/win https://www.win-lottery.example.net/fr/claim
 http://free-download-crack.example.org/de/warez https://m.cheap-loans.example.com/es/apply
 http://hot-singles.example.net/en/chat https://www.payday-loans.example.info/fr/cash
 http://replica-watches.example.com/de/shop https://m.click-bait.example.org/es/99
+http://casino.example.org/en/slots https://www.casinos-online.example.com/de/15
+http://bets.example.net/fr/odds https://m.live-bets.example.org/en/27
+http://adult.example.com/es/38 https://www.adult-toys.example.net/en/shop
+http://spam.example.org/de/46 https://m.mail-spam.example.info/fr/54
+http://pills.example.net/en/order https://www.weight-pills.example.edu/es/63
+http://ads.example.com/fr/click https://m.pop-ads.example.net/de/72
 """.split()),
     *((u, 0) for u in """
 http://news.example.com/en/12 https://www.thenation.example.net/de/politik
@@ -56,8 +62,16 @@ http://school.example.com/en/news https://www.council.example.net/fr/agenda
 http://health.example.org/de/arzt https://m.travel.example.com/es/hotel
 http://thoughts.example.net/en/essay https://www.mathematics.example.info/fr/cours
 http://motion.example.com/de/film https://m.thesis.example.org/es/99
-http://tiontion.example.com/en/4 https://www.ththon.example.org/de/51
-http://therand.example.net/fr/66 https://m.thtion.example.com/es/18
+http://music.example.org/en/album https://www.recipes.example.com/de/suppe
+http://photos.example.net/fr/81 https://m.archive.example.org/en/90
+http://sports.example.com/es/liga https://www.railway.example.net/en/map
+http://radio.example.org/de/18 https://m.parliament.example.info/fr/29
+http://bookshop.example.net/en/36 https://www.theatre-west.example.edu/es/45
+http://the-herald.example.com/fr/une https://m.north-bank.example.net/de/63
+http://thirty-trees.example.info/en/73 https://www.both-streets.example.com/es/82
+http://this-and-that.example.org/de/93 https://m.water-truth.example.net/fr/14
+http://notation.example.com/en/4 https://www.python.example.org/de/51
+http://garden.example.net/fr/66 https://m.nation.example.com/es/18
 """.split()),
 ]
 
