@@ -8,6 +8,7 @@ import random
 import subprocess
 import sys
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 from hypothesis import given, settings
@@ -110,6 +111,20 @@ def test_chat_parts(spark):
     assert chat.read_back(chat.formatted(spark.createDataFrame([], kind))).count() == 0
 
 
+def test_no_control_string_is_formed_where_parts_meet(spark):
+    kind = f"conv_id long, turn long, role string, parts {chat.PARTS}"
+    empty = (None, None, None, None, None)
+    cuts = [("</", "s>"), ("[IN", "ST]"), ("<", "|end|>"), ("<<SY", "", "S>>", " a \\"), ("\\", "<", "|x"), ("</s", ">")]
+    rows = [(n, 0, "assistant", [("text", t, *empty) for t in cut]) for n, cut in enumerate(cuts)]
+    rows.append((99, 0, "assistant", [("text", "<", *empty), ("image", None, "r", 14, 14, None, None), ("text", "|end|>", *empty)]))
+    out = chat.formatted(spark.createDataFrame(rows, kind)).collect()
+    for r in out:
+        content = r.segment.split(chat.PART, 1)[1].removesuffix(chat.END)
+        assert [m[0] for m in chat._control.finditer(content)] == (["<|"] if r.conv_id == 99 else [])
+        text = "".join(cuts[r.conv_id]) if r.conv_id < 99 else "<|end|>"
+        assert "".join(chat.unescape(r.segment[s.start : s.start + s.length]) for s in r.loss) == text
+
+
 @given(st.text(alphabet="<|>/s[INST]\\ a\n"))
 def test_escaping_is_reversible_and_hides_controls(text):
     assert chat.unescape(chat.escape(text)) == text
@@ -158,6 +173,14 @@ def test_html():
         assert html_text.main_text(empty) in ("", "&", "<")
 
 
+def test_scripts_bring_no_markup_back():
+    page = (
+        "<article><p>A first paragraph of some length here.</p><script>if(i<n){/* don't */}</script>"
+        "<p>It's a paragraph</p><style>a<b{content:'\"'}</style><p>and one more.</p></article>"
+    )
+    assert html_text.main_text(page) == "A first paragraph of some length here. It's a paragraph and one more."
+
+
 def test_html_rows(spark, none):
     kind = "page_id long, url string, html string, text string"
     pages = spark.createDataFrame([(1, None, None, "t"), (None, "u", f"<p>{LONG}", "t"), (1, None, None, "t")], kind)
@@ -241,8 +264,21 @@ def test_top_k(spark):
     assert few == [(0, 1, 6, -256 * 256)]
     assert topk.top_k(table.where("vec_id = 0"), F.col("vec_id") == 0).count() == 0
     assert topk.top_k(table.where("false"), F.col("vec_id") == 0).count() == 0
-    with pytest.raises(ValueError):
-        topk.top_k(spark.createDataFrame([(0, [1e30])], "vec_id long, embedding array<double>"), F.col("vec_id") == 0)
+
+
+def test_top_k_of_large_components_is_exact(spark):
+    draw = random.Random(3)
+    rows = [(i, [draw.randint(-9, 9) / 4 for _ in range(3)]) for i in range(30)]
+    rows += [(30, [1e30, -1e30, 0.3]), (31, [1e30, 1e30, 0.3]), (32, [-1e200, 1.5]), (33, [2.0**46, 0.0, -0.7]), (34, [2.0**46, 2.0**-9])]
+    rows += [(40, [1e30, 1e30, 0.3]), (50, [1e308]), (60, [2.0**27, 0.1]), (70, [])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [math.floor(Fraction(x) * 256) for x in v] for i, v in rows}
+    want = []
+    for q in (i for i in whole if i % 10 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], whole[c], strict=False)), c) for c in whole if c != q)
+        want += [(q, rank, c, max(-(2**63), min(-s, 2**63 - 1))) for rank, (s, c) in enumerate(scores[:6], 1)]
+    got = [tuple(r) for r in topk.top_k(table, F.col("vec_id") % 10 == 0, 6).orderBy("query_id", "rank").collect()]
+    assert got == want
 
 
 def test_top_k_over_many_blocks(spark, monkeypatch):

@@ -1,6 +1,8 @@
 """Every query against its SQL, or against a plain version of what it computes."""
 
 import hashlib
+import math
+import re
 import zlib
 from collections import Counter, defaultdict
 from html.parser import HTMLParser
@@ -250,7 +252,7 @@ def test_links_of_dense_fingerprints(spark, limit):
 
 def plain_tiles(text, pattern, least):
     """Greedy string tiling by comparing every pair of places again for each tile."""
-    used_t, used_p, covered = set(), set(), 0
+    used_t, used_p, tiles = set(), set(), []
     while True:
         best = (0, 0, 0)
         for i in range(len(text)):
@@ -265,10 +267,10 @@ def plain_tiles(text, pattern, least):
                     best = (n, i, j)
         n, i, j = best
         if n < least:
-            return covered
+            return sorted(tiles)
         used_t |= set(range(i, i + n))
         used_p |= set(range(j, j + n))
-        covered += n
+        tiles.append((i, j, n))
 
 
 def test_tiling_query(spark):
@@ -289,11 +291,16 @@ def test_tiling_query(spark):
 
 def test_tiles_equal_the_plain_version():
     rng = np.random.default_rng(5)
-    for _ in range(60):
-        text, pattern = (rng.integers(0, 3, n).tolist() for n in rng.integers(1, 40, 2))
-        tiles = tiling.greedy_tiles(text, pattern, 3)
-        assert sum(n for _, _, n in tiles) == plain_tiles(text, pattern, 3)
-        assert all(text[i : i + n] == pattern[j : j + n] and n >= 3 for i, j, n in tiles)
+    for n in range(3000):
+        letters = 2 + n % 3
+        text, pattern = (rng.integers(0, letters, k).tolist() for k in rng.integers(1, 30, 2))
+        assert tiling.greedy_tiles(text, pattern, 3) == plain_tiles(text, pattern, 3)
+    text, pattern = ([int(x) for x in s.replace(" ", "")] for s in ("0101 0100 0000", "1011 1000 0101 0"))
+    assert sum(n for _, _, n in tiling.greedy_tiles(text, pattern, 3)) == 9
+
+
+def test_words_of_scripts_without_spaces():
+    assert tiling.words("An\u4e00\u4e8c x1\u3042\u3002\u30a2b") == ["an", "\u4e00", "\u4e8c", "x1", "\u3042", "\u30a2", "b"]
 
 
 # pipeline
@@ -335,3 +342,70 @@ def test_digest_of_a_known_conversation(spark):
     row = QUERIES["op2_chat"](spark, SF).where("conv_id = -7").first()
     assert row.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
     assert row.loss_sha256 == hashlib.sha256(text.encode()).hexdigest() and row.loss_chars == len(text)
+
+
+def plain_probability(model, url):
+    """The model's probability, one n-gram at a time."""
+    m = re.match(r"(?s)\A.*?://([^/?#]*)([^?#]*)", url)
+    host, path = (m[1].lower(), m[2]) if m else ("", "")
+    total = count = 0
+    for part in (f"\x02{host}\x03", f"\x04{path}\x05"):
+        data = part.encode()
+        for n in urls.GRAMS:
+            for at in range(len(data) - n + 1):
+                h = n
+                for byte in data[at : at + n]:
+                    h = ((h ^ byte) * 16_777_619) & 0xFFFFFFFF
+                total += model.weights[(h ^ (h >> 15)) % urls.PLACES]
+                count += 1
+    return 1 / (1 + math.exp(-(total / math.sqrt(max(count, 1)) + model.offset)))
+
+
+def test_url_model_equals_a_plain_version_and_holds_out(spark):
+    held = 0
+    for fold in range(4):
+        taught = [row for n, row in enumerate(urls.LABELLED) if n // 2 % 4 != fold]
+        model = urls.fit(spark.createDataFrame(taught, "url string, label int"))
+        asked = [row for n, row in enumerate(urls.LABELLED) if n // 2 % 4 == fold]
+        pages = spark.createDataFrame([(n, u) for n, (u, _) in enumerate(asked)], "page_id long, url string")
+        got = {r.page_id: r.blocked_probability for r in urls.judged(pages, [], model).collect()}
+        for n, (url, label) in enumerate(asked):
+            assert got[n] == pytest.approx(plain_probability(model, url))
+            held += (got[n] >= 0.5) == (label == 1)
+    # Rows beside each other share their words, so the words of a held-out row are mostly new to the model.
+    assert held > len(urls.LABELLED) / 2
+
+
+def test_labelled_urls_name_no_host_of_the_pages():
+    hosts = {m[1].lower() for (u,) in table("pages", "url") if (m := re.match(r"(?s)\A.*?://([^/?#]*)", u or ""))}
+    assert not hosts & {url.split("/")[2] for url, _ in urls.LABELLED}
+
+
+def plain_score(model, text):
+    """The network's forward pass, one window at a time."""
+    size = 2 * quality.HALF
+    data = quality._padded(text)
+    odds = []
+    for start in range(0, max(len(data) - quality.HALF, 1), quality.HALF):
+        peak = np.full(quality.FILTERS, -np.inf)
+        for at in range(start, min(start + size, len(data)), quality.STRIDE):
+            window = data[at : at + quality.WIDTH].ljust(quality.WIDTH, b"\0")
+            peak = np.maximum(peak, np.concatenate([model.bytes[c] for c in window]) @ model.filters)
+        filled = min(max(len(text) - start, 0), size)
+        kind = min(math.ceil(math.log2(filled + 1)), quality.SIZES - 1)
+        odds.append(np.maximum(peak + model.bias, 0) @ model.weights + model.offsets[kind])
+    return 1 / (1 + math.exp(-min(max(float(np.mean(odds)), -30), 30)))
+
+
+def test_quality_equals_a_plain_forward_pass_whatever_lies_beside():
+    rng = np.random.default_rng(11)
+    shapes = ((256, quality.DIMS), (quality.WIDTH * quality.DIMS, quality.FILTERS), quality.FILTERS, quality.FILTERS, quality.SIZES)
+    model = quality.Model(*(rng.normal(0, 1, shape).astype(np.float32) for shape in shapes))
+    model.weights *= np.float32(0.02)  # keeps probabilities away from 0 and 1
+    texts = [rng.integers(0, 256, n, np.uint8).tobytes() for n in (0, 1, 7, 247, 248, 249, 255, 256, 300, 512, 513, 760, 2000, 0, 5000)]
+    got = quality.scores(texts, model)
+    assert ((got > 0.01) & (got < 0.99)).sum() > len(texts) / 2
+    assert got == pytest.approx([plain_score(model, t) for t in texts], abs=1e-3)
+    alone = [quality.scores([t], model)[0] for t in texts]
+    assert got == pytest.approx(alone, abs=1e-5)
+    assert quality.scores(texts[::-1], model, block=600) == pytest.approx(alone[::-1], abs=1e-5)
