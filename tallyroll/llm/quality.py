@@ -57,14 +57,17 @@ def _windows(codes: np.ndarray, model: Model) -> np.ndarray:
     return np.lib.stride_tricks.as_strided(x, (n, WIDTH * DIMS), (STRIDE * step, x.strides[1]), writeable=False)
 
 
-def _maxima(codes: np.ndarray, model: Model, last: np.ndarray) -> np.ndarray:
-    """Largest output of each filter in each half; ``codes`` are whole halves, ``last`` the halves that end a text.
+def _maxima(codes: np.ndarray, model: Model, last: np.ndarray | None = None) -> np.ndarray:
+    """Largest output of each filter in each half; ``codes`` are whole halves, ``last`` the halves that end a text, none
+    if not given.
 
     The last windows of a text would reach into the next one. Over zeros, as they should be, they say what
     the window before them says, so they are left out.
     """
     over = WIDTH // STRIDE - 1
     out = np.empty((len(codes) // HALF, FILTERS), np.float32)
+    if last is None:
+        last = np.zeros(len(out), bool)
     more = np.concatenate([codes, np.zeros(WIDTH, np.uint8)])
     for at in range(0, len(out), _HALVES):
         part = more[at * HALF : (at + _HALVES) * HALF + WIDTH]
