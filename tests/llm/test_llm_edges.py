@@ -10,6 +10,7 @@ import sys
 from collections import Counter
 from fractions import Fraction
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -297,6 +298,48 @@ def test_top_k_over_many_blocks(spark, monkeypatch):
     assert got == sorted(want)
 
 
+def bytes_sent(df):
+    """Bytes that the exchanges of a query wrote when its rows were collected."""
+    plans, total = [df._jdf.queryExecution().executedPlan()], 0
+    while plans:
+        node = plans.pop()
+        name = node.nodeName()
+        if "AdaptiveSparkPlan" in name:
+            plans.append(node.executedPlan())
+        elif "QueryStage" in name:
+            plans.append(node.plan())
+        elif "ReusedExchange" not in name:
+            total += node.metrics().apply("dataSize").value() if name.startswith("Exchange") else 0
+            plans += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+@pytest.mark.parametrize("block, times", [(None, 8), (4096, 40)])
+def test_top_k_sends_vectors_a_few_times_however_many_ask(spark, monkeypatch, tmp_path, block, times):
+    """Every vector asks; the blocks are few, or with a small bound many on both sides."""
+    if block:
+        monkeypatch.setattr(topk, "BLOCK", block)
+    n, dims = 4000, 16
+    whole = np.random.default_rng(8).integers(-200, 200, (n, dims))
+    whole[::7] = whole[0]  # ties, more than are asked for
+    rows = [(i, v) for i, v in enumerate((whole / 256).tolist())]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(str(tmp_path / "v"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as tables of any size beyond a broadcast are joined
+    try:
+        top = topk.top_k(spark.read.parquet(str(tmp_path / "v")), F.lit(True))
+        got = sorted(tuple(r) for r in top.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    score = whole @ whole.T
+    want = []
+    for q in range(n):
+        order = np.lexsort((np.arange(n), -score[q]))
+        want += [(q, rank, c, score[q, c]) for rank, c in enumerate(order[order != q][:5].tolist(), 1)]
+    assert got == want
+    assert 0 < bytes_sent(top) < times * whole.nbytes
+
+
 @pytest.mark.parametrize("least, types", [(0, {"response": 5, "revisit": 3}), (1, {"response": 6, "revisit": 2})])
 def test_warc(spark, tmp_path, least, types):
     trap = "\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\n"
