@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tallyroll.llm import near
+from tallyroll.llm import near, simhash
 
 SF = "/root/testdata/sf0.01"
 
@@ -159,3 +159,32 @@ def test_forest_joins_what_all_pairs_join(seed):
     assert all(similar(i, j) for i, j in links)
     assert joined(links) == joined(every)
     assert len(links) == len(set(roots)) - len(joined(every))
+
+
+def test_stage_runs_op6_over_all_documents(spark, monkeypatch, tmp_path):
+    """What op6 groups is compared, even where the positions bring nothing together."""
+    rng, words, seen = random.Random(5), [f"w{i}" for i in range(3000)], []
+    bases = [rng.choices(words, k=400) for _ in range(20)]
+    texts = [" ".join(b) for b in bases] + [" ".join([*b, "x"]) for b in bases[:8]] + [" ".join([*bases[0], "x", "y"]), "", None, "a b"]
+    rows = list(enumerate(texts))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    real = simhash.grouped
+    monkeypatch.setattr(simhash, "grouped", lambda marked: seen.append({r.fp for r in marked.select("fp").collect()}) or real(marked))
+    monkeypatch.setattr(near, "_postings", lambda one: one.where("false").selectExpr("sid", "0L as key"))
+    got = corpus_pipeline.dedup_stage(spark, docs, str(tmp_path))
+    prints = [simhash.fingerprint(t) for t in texts]
+    assert seen == [{int(np.uint64(p).view(np.int64)) for p in prints}]
+    # Copies that op6 links go, and no others.
+    linked = sum((prints[i] ^ prints[i + 20]).bit_count() <= simhash.MAX_BITS for i in range(8))
+    assert linked >= 5
+    kept = {r.doc_id for r in got.collect()}
+    assert kept >= {*range(20)} and {20 + i for i in range(8) if (prints[i] ^ prints[i + 20]).bit_count() <= simhash.MAX_BITS}.isdisjoint(kept)
+
+
+def test_groups_of_op6_are_lists(spark):
+    rows = [(1, 0, 9), (2, 0b1111, 9), (3, 0b1111_1111, 9), (4, -1, 9), (5, 0, 1), (1, 1 << 62 | 0xABCDEF << 20, 9)]
+    found = defaultdict(set)
+    for r in near._group_postings(spark.createDataFrame(rows, "sid long, fp long, size long")).collect():
+        found[r.key].add(r.sid)
+    assert sorted(map(sorted, found.values())) == [[1], [1, 2, 3], [4]]
