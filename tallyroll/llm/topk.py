@@ -257,7 +257,10 @@ def _by_integers(dims: int, k: int):
     """Each query's ``k`` best of a pair of blocks, by exact integers of any size."""
 
     def run(rows: pa.Table) -> pa.Table:
-        q, c = (rows.filter(x).to_pydict() for x in (rows["asking"], pc.invert(rows["asking"])))
+        q, c = rows.filter(rows["asking"]), rows.filter(pc.invert(rows["asking"]))
+        if not (q.num_rows and c.num_rows):
+            return _RANKED.empty_table()
+        q, c = q.to_pydict(), c.to_pydict()
         cm, c_no, c_id = _integers(c, dims), c["no"], c["vec_id"]
         out = []
         for no, vec_id, v in zip(q["no"], q["vec_id"], _integers(q, dims), strict=True):
